@@ -7,17 +7,18 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from loanlake.schemas import SNAPSHOT, TABLES
 
-# Rows of each table and month that has been processed, 0 included.
+# Log of processed months: one row per run, table and month, months without rows included.
 PROCESSED = StructType(
     [
         StructField("layer", StringType()),
         StructField("table_name", StringType()),
         StructField(SNAPSHOT, DateType()),
         StructField("n_rows", LongType()),
+        StructField("noted_at", TimestampType()),
     ]
 )
 _BITS = 63
@@ -117,15 +118,23 @@ class Lake:
             .select(F.explode(F.array(*[F.lit(table) for table in tables])).alias(keys[0]))
             .select(keys[0], F.explode(F.array(*[F.lit(month) for month in months])).alias(SNAPSHOT))
             .join(counts, keys, "left")
-            .select(F.lit(layer).alias("layer"), *keys, F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"))
+            .select(
+                F.lit(layer).alias("layer"),
+                *keys,
+                F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"),
+                F.current_timestamp().alias("noted_at"),
+            )
         )
-        noted.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "layer", *keys
-        ).parquet(f"{self.root.rstrip('/')}/processed")
+        noted.coalesce(1).write.mode("append").parquet(self._log)
+
+    @property
+    def _log(self) -> str:
+        return f"{self.root.rstrip('/')}/processed"
 
     def processed(self) -> DataFrame:
-        """Rows by layer, table and month of everything processed so far."""
-        return read_table(self.spark, f"{self.root.rstrip('/')}/processed", PROCESSED)
+        """Rows by layer, table and month of everything processed so far, as of the last run of each month."""
+        log = read_table(self.spark, self._log, PROCESSED)
+        return log.groupBy("layer", "table_name", SNAPSHOT).agg(F.max_by("n_rows", "noted_at").alias("n_rows"))
 
     def ready_months(self, layer: str, tables: list[str], months: list[date]) -> list[date]:
         """Those of the given months for which all of ``tables`` have been processed, empty or not."""

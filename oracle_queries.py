@@ -332,8 +332,8 @@ FROM silver_loans""",
 FROM gold_features UNION ALL
 SELECT 'label_store' AS table_name, count(*) AS n_rows, {len(_LABEL_SCHEMA)} AS n_columns FROM gold_labels""",
     "layer_row_audit": _audit(),
-    "schema_report": f"""{_schema_rows('feature_store', 'features', _FEATURE_SCHEMA)}
-UNION ALL {_schema_rows('label_store', 'labels', _LABEL_SCHEMA)}""",
+    "schema_report": f"""{_schema_rows('feature_store', 'gold_features', _FEATURE_SCHEMA)}
+UNION ALL {_schema_rows('label_store', 'gold_labels', _LABEL_SCHEMA)}""",
     "csv_scan_clickstream": "SELECT * FROM raw_clickstream",
     "csv_scan_attributes": "SELECT * FROM raw_attributes",
     "csv_scan_loans": "SELECT * FROM raw_loans",
