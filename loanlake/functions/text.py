@@ -7,8 +7,10 @@ and never an error.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A decimal number of which only the whole part counts; surrounding blanks are ignored.
+# A decimal number as text, blanks around it ignored, and its whole part; a whole number as text.
 _DECIMAL_TEXT = r"^[\x00-\x20]*(?<sign>[+-]?)(?<digits>[0-9]*)[.][0-9]*[\x00-\x20]*$"
+_WHOLE_PART = "${sign}0${digits}"
+_WHOLE_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
 
 # Credit mixes that are kept.
 CREDIT_MIXES = ["Bad", "Good", "Standard"]
@@ -19,9 +21,22 @@ def clean_id(c: Column) -> Column:
     return F.trim(F.upper(c))
 
 
+def whole_part(c: Column) -> Column:
+    """Text of a number without its decimals: ``'24.9'`` gives ``'024'``. Other text stays as it is."""
+    return F.regexp_replace(c, _DECIMAL_TEXT, _WHOLE_PART)
+
+
+def whole_number(c: Column) -> Column:
+    """Whole number held as text, NULL if it is none.
+
+    The pattern is tested before the cast, as a failing cast raises and catches an error for each row.
+    """
+    return F.when(c.rlike(_WHOLE_TEXT), c.try_cast("int"))
+
+
 def parse_int(c: Column) -> Column:
     """Whole part of a number held as text: ``' 24 '`` and ``'24.9'`` give 24, ``'24_'`` gives NULL."""
-    return F.regexp_replace(c, _DECIMAL_TEXT, "${sign}0${digits}").try_cast("int")
+    return whole_number(whole_part(c))
 
 
 def parse_float(c: Column) -> Column:
@@ -38,16 +53,14 @@ def null_as_zero(c: Column, kind: str) -> Column:
     return F.coalesce(c, F.lit(0).cast(kind))
 
 
-def missing_as_zero(text: Column, value: Column, kind: str, blank_is_missing: bool = False) -> Column:
-    """``value`` parsed from ``text``, 0 where the text is missing. Unreadable text stays NULL."""
-    missing = text.isNull() | (text == "") if blank_is_missing else text.isNull()
-    return F.when(missing, F.lit(0).cast(kind)).otherwise(value)
+def zero_if_null(c: Column) -> Column:
+    """Text of a number, ``0`` where it is missing. Unreadable text stays as it is."""
+    return F.coalesce(c, F.lit("0"))
 
 
-def money(c: Column) -> Column:
-    """Amount with stray underscores; nothing left means 0."""
-    digits = strip_underscores(c)
-    return missing_as_zero(digits, parse_float(digits), "float", blank_is_missing=True)
+def zero_if_blank(c: Column) -> Column:
+    """Like :func:`zero_if_null`, with empty text counted as missing."""
+    return zero_if_null(F.nullif(c, F.lit("")))
 
 
 def valid_age(c: Column) -> Column:
@@ -56,13 +69,13 @@ def valid_age(c: Column) -> Column:
     return F.when(years.between(0, 120), years).otherwise(F.lit(0))
 
 
-def unknown_if_null(c: Column, otherwise: Column | None = None) -> Column:
-    return F.when(c.isNull(), F.lit("Unknown")).otherwise(c if otherwise is None else otherwise)
+def unknown_if_null(c: Column) -> Column:
+    return F.coalesce(c, F.lit("Unknown"))
 
 
 def occupation(c: Column) -> Column:
     """Underscores become blanks. A value of underscores only ends up empty, not ``Unknown``."""
-    return unknown_if_null(c, F.trim(F.translate(c, "_", " ")))
+    return unknown_if_null(F.trim(F.translate(c, "_", " ")))
 
 
 def credit_mix(c: Column) -> Column:
@@ -72,14 +85,22 @@ def credit_mix(c: Column) -> Column:
 
 def minimum_payment(c: Column) -> Column:
     """``NM`` becomes ``No``; everything else is upper-cased, so a plain ``No`` becomes ``NO``."""
-    return unknown_if_null(c, F.when(c == "NM", F.lit("No")).otherwise(F.trim(F.upper(c))))
+    return unknown_if_null(F.when(c == "NM", F.lit("No")).otherwise(F.trim(F.upper(c))))
+
+
+def payment_behaviour(c: Column) -> Column:
+    return unknown_if_null(F.trim(c))
 
 
 def loan_types(c: Column) -> Column:
-    return F.when(c.isNull() | (c == ""), F.lit("None")).otherwise(F.trim(c))
+    return F.coalesce(F.trim(F.nullif(c, F.lit(""))), F.lit("None"))
+
+
+def credit_age_text(c: Column) -> Column:
+    """What stands before `` Years`` in ``'22 Years and 1 Months'``, ``0`` where no ``Years`` is named."""
+    years = whole_part(F.substring_index(c, " Years", 1))
+    return F.when(c.contains("Years"), years).otherwise(F.lit("0"))
 
 
 def credit_age_years(c: Column) -> Column:
-    """Years of ``'22 Years and 1 Months'``; 0 where no ``Years`` is named; NULL where the number is unreadable."""
-    years = parse_int(F.regexp_replace(c, " Years.*", ""))
-    return F.when(c.contains("Years"), years).otherwise(F.lit(0))
+    return whole_number(credit_age_text(c))
