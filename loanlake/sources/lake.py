@@ -5,7 +5,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
@@ -21,33 +21,6 @@ PROCESSED = StructType(
         StructField("noted_at", TimestampType()),
     ]
 )
-_BITS = 63
-
-
-def _month_number(c: Column) -> Column:
-    return F.year(c) * 12 + F.month(c)
-
-
-def _place(month: date, months: list[date]) -> int:
-    return (month.year - months[0].year) * 12 + month.month - months[0].month
-
-
-def _seen_months(months: list[date]) -> list[Column]:
-    """Aggregates that set one bit per month with rows, so a task that runs twice does no harm."""
-    snapshot = F.col(SNAPSHOT)
-    place = (F.year(snapshot) - months[0].year) * 12 + F.month(snapshot) - months[0].month
-    return [
-        F.bit_or(
-            F.when(place.between(low, low + _BITS - 1), F.call_function("shiftleft", F.lit(1).cast("long"), place - low))
-        ).alias(f"months{low}")
-        for low in range(0, _place(months[-1], months) + 1, _BITS)
-    ]
-
-
-def _was_seen(month: date, months: list[date], words: dict) -> bool:
-    place = _place(month, months)
-    word = words.get(f"months{place - place % _BITS}") or 0
-    return bool(word >> place % _BITS & 1)
 
 
 def of_months(months: list[date]) -> Column:
@@ -88,22 +61,23 @@ class Lake:
         """
         if not months:
             return
-        rows = df.where(of_months(months)).select(*self.schemas[layer][table].names)
-        seen = Observation()
-        rows = rows.observe(seen, *_seen_months(months))
+        schema = self.schemas[layer][table]
+        before = self._newest_files(layer, table, months)
+        rows = df.where(of_months(months)).select(*schema.names)
         write_partitioned(rows, self.path(layer, table), rebalance, sort_by)
-        words = seen.get
-        self._clear(layer, table, [month for month in months if not _was_seen(month, months, words)])
-
-    def _clear(self, layer: str, table: str, months: list[date]) -> None:
-        """Replace what an earlier run left in months that have no rows now."""
-        if not months:
+        if not before:
             return
-        schema = self.schemas[layer][table]
-        stale = self.read(layer, table, months).select(SNAPSHOT).distinct()
+        # Months that had rows and have none now were not touched by the write: empty them.
+        after = self._newest_files(layer, table, months)
         nothing = self.spark.createDataFrame([], schema).drop(SNAPSHOT).coalesce(1)
-        for row in stale.collect():  # months, bounded by the calendar
-            nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={row[SNAPSHOT]}")
+        for month in [month for month, file in before.items() if after[month] == file]:
+            nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={month}")
+
+    def _newest_files(self, layer: str, table: str, months: list[date]) -> dict[date, str]:
+        """One file name of each month that has rows. Each write gives its files new names."""
+        files = self.read(layer, table, months).select(SNAPSHOT, F.input_file_name().alias("file"))
+        largest = files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
+        return {row[SNAPSHOT]: row["file"] for row in largest.collect()}  # months, bounded by the calendar
 
     def record(self, layer: str, tables: list[str], months: list[date]) -> None:
         """Note the months of ``tables`` as processed, with their rows; counting reads file footers only."""

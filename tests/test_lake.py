@@ -1,0 +1,164 @@
+"""Months are processed, replaced and left out independently of each other."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from loanlake import schemas as s
+from loanlake.functions.calendar import month_starts
+from loanlake.operators import audit, gold, silver
+from loanlake.operators.joins import SkewPolicy
+from loanlake.plans import backfill
+from loanlake.sources import csv, orders_feed
+from loanlake.sources.lake import Lake
+
+MONTHS = month_starts("1996-01-01", "1996-03-01")
+
+
+@pytest.fixture(scope="module")
+def sources(spark, sf_dir, tmp_path_factory):
+    """CSV sources of a few months, with one month more than is processed."""
+    folder = str(tmp_path_factory.mktemp("source"))
+    for table, df in orders_feed.source_tables(spark, sf_dir).items():
+        few = df.where(F.col(s.SNAPSHOT).between("1996-01-01", "1996-04-01") | F.col(s.SNAPSHOT).isNull())
+        csv.write_csv(few, f"{folder}/{csv.SOURCE_FILES[table]}")
+    return csv.read_sources(spark, folder)
+
+
+def new_lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+@pytest.fixture(scope="module")
+def whole(spark, sources, tmp_path_factory):
+    lake = Lake(spark, str(tmp_path_factory.mktemp("whole")))
+    backfill.run_backfill(lake, sources, "1996-01-01", "1996-03-01")
+    return lake
+
+
+def gold_rows(lake):
+    return {table: rows(lake.read("gold", table)) for table in s.GOLD}
+
+
+def test_schemas_and_months(whole):
+    for layer, tables in s.TABLES.items():
+        for table, schema in tables.items():
+            df = whole.read(layer, table)
+            assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]
+            assert {row[0] for row in df.select(s.SNAPSHOT).distinct().collect()} <= set(MONTHS)
+
+
+def test_one_month_at_a_time_gives_the_same(spark, sources, whole, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    for month in MONTHS:
+        backfill.run_backfill(lake, sources, month, month)
+    assert gold_rows(lake) == gold_rows(whole)
+
+
+def test_features_equal_those_of_unwritten_tables(sources, whole):
+    tables = {
+        name: clean(sources[name]).where(F.col(s.SNAPSHOT).isin(MONTHS)) for name, clean in silver.CLEANERS.items()
+    }
+    assert rows(gold.feature_store(**tables)) == rows(whole.read("gold", "feature_store"))
+    assert rows(gold.label_store(tables["loans"])) == rows(whole.read("gold", "label_store"))
+
+
+def test_features_with_salted_keys_are_the_same(spark, sources, whole, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.run_backfill(lake, sources, MONTHS[0], MONTHS[-1], policy=SkewPolicy(max_keys=10_000, min_rows=1))
+    assert gold_rows(lake) == gold_rows(whole)
+
+
+def test_rerun_replaces_one_month_only(spark, sources, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, sources, MONTHS)
+    before = rows(lake.read("bronze", "attributes"))
+    changed = {"attributes": sources["attributes"].withColumn("Name", F.lit("new"))}
+    backfill.load_bronze(lake, changed, [MONTHS[1]])
+    after = lake.read("bronze", "attributes")
+    assert {row[0] for row in after.where(F.col(s.SNAPSHOT) == MONTHS[1]).select("Name").collect()} == {"new"}
+    others = [row for row in before if MONTHS[1] not in row]
+    assert rows(after.where(F.col(s.SNAPSHOT) != MONTHS[1])) == others
+
+
+def test_rerun_without_rows_empties_the_month(spark, sources, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.run_backfill(lake, sources, MONTHS[0], MONTHS[-1])
+    gone = {name: df.where(F.col(s.SNAPSHOT) != MONTHS[1]) for name, df in sources.items()}
+    backfill.run_backfill(lake, gone, MONTHS[0], MONTHS[-1])
+    for layer, tables in s.TABLES.items():
+        for table in tables:
+            assert lake.read(layer, table, [MONTHS[1]]).count() == 0
+    assert lake.read("bronze", "loans", [MONTHS[2]]).count() > 0
+    noted = lake.processed().where(F.col(s.SNAPSHOT) == MONTHS[1]).select("n_rows").collect()
+    assert len(noted) == 10 and all(row[0] == 0 for row in noted)
+
+
+def test_month_not_processed_for_one_table_gives_no_features(spark, sources, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, {k: v for k, v in sources.items() if k != "financials"}, MONTHS)
+    backfill.load_bronze(lake, {"financials": sources["financials"]}, [MONTHS[0], MONTHS[2]])
+    backfill.build_silver(lake, MONTHS)
+    assert backfill.build_features(lake, MONTHS) == [MONTHS[0], MONTHS[2]]
+    found = lake.read("gold", "feature_store").select(s.SNAPSHOT).distinct().collect()
+    assert sorted(row[0] for row in found) == [MONTHS[0], MONTHS[2]]
+    assert backfill.build_labels(lake, MONTHS) == MONTHS
+
+
+def test_no_loans_give_an_empty_feature_store(spark, sources, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, {k: v for k, v in sources.items() if k != "loans"}, MONTHS)
+    backfill.build_silver(lake, MONTHS)
+    assert backfill.build_features(lake, MONTHS) == MONTHS
+    features = lake.read("gold", "feature_store")
+    assert features.count() == 0 and len(features.columns) == 50
+    assert backfill.build_labels(lake, MONTHS) == []
+
+
+def test_long_ranges(spark, tmp_path):
+    """More months than one word of bits holds, with gaps."""
+    lake = new_lake(spark, tmp_path)
+    months = month_starts("1990-01-01", "2001-12-01")
+    label = [("L", "C", 1, "x", month) for month in months]
+    lake.write(spark.createDataFrame(label, s.GOLD["label_store"]), "gold", "label_store", months)
+    kept = [row for row in label if row[-1].month % 5]
+    lake.write(spark.createDataFrame(kept, s.GOLD["label_store"]), "gold", "label_store", months)
+    found = lake.read("gold", "label_store").select(s.SNAPSHOT).collect()
+    assert sorted(row[0] for row in found) == [row[-1] for row in kept]
+
+
+def test_report(whole):
+    report = backfill.report(whole)
+    features, labels = whole.read("gold", "feature_store").count(), whole.read("gold", "label_store").count()
+    assert rows(report["profile"], "table_name", "n_rows", "n_columns") == [
+        ("feature_store", features, 50), ("label_store", labels, 5),
+    ]
+    assert report["schema"].count() == 55
+    assert sum(row["n"] for row in report["labels"].collect()) == labels
+    assert report["processed"].count() == 10 * len(MONTHS)
+
+
+def test_command_line(spark, sources, sf_dir, whole, tmp_path, capsys):
+    source = str(tmp_path / "source")
+    for table, df in sources.items():
+        csv.write_csv(df, f"{source}/{csv.SOURCE_FILES[table]}")
+    backfill.main(["--source", source, "--lake", str(tmp_path / "lake"), "--start", "1996-01-01", "--end", "1996-03-01"])
+    assert gold_rows(new_lake(spark, tmp_path)) == gold_rows(whole)
+    assert "label_store" in capsys.readouterr().out
+
+
+def test_required_months(spark):
+    def table(*months):
+        return spark.createDataFrame([(month,) for month in months], "snapshot_date date")
+
+    a, b, c = MONTHS
+    found = gold.required_months(table(a, b, c), table(a, a, c), table(c, a), table(a, b, date(1999, 1, 1)))
+    assert [row[0] for row in found.collect()] == [a]
+
+
+def test_audit_counts_empty_months(sources):
+    few = {name: df.where(F.col(s.SNAPSHOT) != MONTHS[1]) for name, df in sources.items()}
+    counts = audit.layer_row_audit(few).where(F.col(s.SNAPSHOT) == MONTHS[1])
+    assert {row["n"] for row in counts.collect()} == {0}
