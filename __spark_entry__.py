@@ -6,6 +6,8 @@ question as SQL for another engine.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 from datetime import date
 from functools import lru_cache
@@ -13,6 +15,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from loanlake import schemas as s
 from loanlake.functions.calendar import data_calendar, month_starts
 from loanlake.operators import audit, gold, silver
@@ -76,6 +80,13 @@ def _csv_scan(table: str) -> Query:
     return run
 
 
+def _csv_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clickstream written as one CSV folder per month and read again, all months together."""
+    path = f"{scratch_root(spark)}/clickstream"
+    csv.write_csv(_bronze(spark, sf_dir)["clickstream"], path, by_month=True)
+    return csv.read_source(spark, path, s.BRONZE["clickstream"])
+
+
 def _silver_table(table: str) -> Query:
     return lambda spark, sf_dir: _silver(spark, sf_dir)[table]
 
@@ -161,10 +172,6 @@ def _required_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.training_set(_features(spark, sf_dir), _labels(spark, sf_dir))
-
-
 @lru_cache(maxsize=4)
 def _lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake built from CSV sources over all months of the data."""
@@ -181,6 +188,11 @@ def _lake_table(table: str) -> Query:
     return lambda spark, sf_dir: _lake(spark, sf_dir).read("gold", table)
 
 
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _lake(spark, sf_dir)
+    return gold.training_set(lake.read("gold", "feature_store"), lake.read("gold", "label_store"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The feature store of all months."""
     return _features(spark, "/root/testdata/sf0.001")
@@ -210,6 +222,7 @@ def queries() -> dict[str, Query]:
         "csv_scan_clickstream": _csv_scan("clickstream"),
         "csv_scan_attributes": _csv_scan("attributes"),
         "csv_scan_loans": _csv_scan("loans"),
+        "csv_by_month": _csv_by_month,
         "csv_roundtrip_scan": _csv_scan("financials"),
         "partition_pruned_scan": _pruned_scan,
         "multi_partition_scan": _multi_scan,

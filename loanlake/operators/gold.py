@@ -99,10 +99,7 @@ def present_months(df: DataFrame) -> DataFrame:
 
 
 def required_months(months: DataFrame, *tables: DataFrame) -> DataFrame:
-    """The given months that occur in every table; a month missing anywhere yields no output.
-
-    Every side is a list of months, bounded by the calendar, so broadcasting it is safe at any table size.
-    """
+    """The given months that occur in every table; a month missing anywhere yields no output."""
     for df in tables:
-        months = months.join(F.broadcast(present_months(df)), s.SNAPSHOT, "left_semi")
+        months = months.join(present_months(df), s.SNAPSHOT, "left_semi")
     return months

@@ -32,32 +32,34 @@ def load_bronze(lake: Lake, sources: dict[str, DataFrame], months: list[date]) -
     """Source rows as received, by month. Rows of other dates are left out."""
     for table, rows in sources.items():
         lake.write(rows, "bronze", table, months, rebalance=True)
-    lake.record("bronze", list(sources), months)
+    lake.record("bronze", {table: months for table in sources})
 
 
 def build_silver(lake: Lake, months: list[date]) -> None:
     """Clean rows. Bronze files hold one month each, so a task writes few months and nothing is shuffled."""
+    ready = lake.processed_months("bronze", list(CLEANERS), months)
     for table, clean in CLEANERS.items():
-        ready = lake.ready_months("bronze", [table], months)
-        lake.write(clean(lake.read("bronze", table, ready)), "silver", table, ready, sort_by=SILVER_ORDER.get(table))
-        lake.record("silver", [table], ready)
+        rows = clean(lake.read("bronze", table, ready[table]))
+        lake.write(rows, "silver", table, ready[table], sort_by=SILVER_ORDER.get(table))
+    lake.record("silver", ready)
 
 
 def build_features(lake: Lake, months: list[date], policy: SkewPolicy = DEFAULT_POLICY) -> list[date]:
     """Feature store of the months for which all customer tables were processed; returns those months."""
-    ready = lake.ready_months("silver", CUSTOMER_TABLES, months)
+    done = lake.processed_months("silver", CUSTOMER_TABLES, months)
+    ready = sorted(set.intersection(*[set(given) for given in done.values()]))
     tables = {table: lake.read("silver", table, ready) for table in ["loans", *CUSTOMER_TABLES]}
     lake.write(gold.feature_store(**tables, policy=policy), "gold", "feature_store", ready, rebalance=True)
-    lake.record("gold", ["feature_store"], ready)
+    lake.record("gold", {"feature_store": ready})
     return ready
 
 
 def build_labels(lake: Lake, months: list[date], dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -> list[date]:
     """Label store of the months whose loans were processed; returns those months."""
-    ready = lake.ready_months("silver", ["loans"], months)
+    ready = lake.processed_months("silver", ["loans"], months)["loans"]
     loans = lake.read("silver", "loans", ready)
     lake.write(gold.label_store(loans, dpd, mob), "gold", "label_store", ready, rebalance=True)
-    lake.record("gold", ["label_store"], ready)
+    lake.record("gold", {"label_store": ready})
     return ready
 
 

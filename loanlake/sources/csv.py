@@ -51,12 +51,16 @@ def read_sources(
     }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, by_month: bool = False) -> None:
     """CSV parts with a header that :func:`read_source` reads back unchanged, blanks around values included.
 
-    Empty text is written like NULL, as a CSV source cannot tell them apart. Text with line breaks cannot be read
-    back, since the reader splits files at line ends.
+    ``by_month`` makes a folder of each month, of which other months stay when one is written again. Empty text is
+    written like NULL, as a CSV source cannot tell them apart. Text with line breaks cannot be read back, since the
+    reader splits files at line ends.
     """
-    df.write.mode("overwrite").options(
+    writer = df.write.mode("overwrite").options(
         header=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+    )
+    if by_month:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(s.SNAPSHOT)
+    writer.csv(path)

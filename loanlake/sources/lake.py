@@ -79,18 +79,26 @@ class Lake:
         largest = files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
         return {row[SNAPSHOT]: row["file"] for row in largest.collect()}  # months, bounded by the calendar
 
-    def record(self, layer: str, tables: list[str], months: list[date]) -> None:
-        """Note the months of ``tables`` as processed, with their rows; counting reads file footers only."""
+    def record(self, layer: str, months: dict[str, list[date]]) -> None:
+        """Note the given months of each table as processed, with their rows; counting reads file footers only."""
+        months = {table: given for table, given in months.items() if given}
         if not months:
             return
         keys = ["table_name", SNAPSHOT]
-        parts = [self.read(layer, table, months).select(F.lit(table).alias(keys[0]), SNAPSHOT) for table in tables]
+        parts = [
+            self.read(layer, table, given).select(F.lit(table).alias(keys[0]), SNAPSHOT)
+            for table, given in months.items()
+        ]
         counts = reduce(DataFrame.unionAll, parts).groupBy(*keys).agg(F.count("*").alias("n"))
+        listed = [
+            F.struct(F.lit(table).alias(keys[0]), F.lit(month).alias(keys[1]))
+            for table, given in months.items()
+            for month in given
+        ]
         # Tables times months, at most a few thousand rows.
         noted = (
             self.spark.range(1)
-            .select(F.explode(F.array(*[F.lit(table) for table in tables])).alias(keys[0]))
-            .select(keys[0], F.explode(F.array(*[F.lit(month) for month in months])).alias(SNAPSHOT))
+            .select(F.inline(F.array(*listed)))
             .join(counts, keys, "left")
             .select(
                 F.lit(layer).alias("layer"),
@@ -110,16 +118,11 @@ class Lake:
         log = read_table(self.spark, self._log, PROCESSED)
         return log.groupBy("layer", "table_name", SNAPSHOT).agg(F.max_by("n_rows", "noted_at").alias("n_rows"))
 
-    def ready_months(self, layer: str, tables: list[str], months: list[date]) -> list[date]:
-        """Those of the given months for which all of ``tables`` have been processed, empty or not."""
-        done = (
-            self.processed()
-            .where((F.col("layer") == layer) & F.col("table_name").isin(tables) & of_months(months))
-            .groupBy(SNAPSHOT)
-            .agg(F.count_distinct("table_name").alias("n"))
-            .where(F.col("n") == len(set(tables)))
-        )
-        return sorted(row[SNAPSHOT] for row in done.collect())  # at most as many as were given
+    def processed_months(self, layer: str, tables: list[str], months: list[date]) -> dict[str, list[date]]:
+        """Those of the given months that have been processed, empty or not, for each table."""
+        wanted = (F.col("layer") == layer) & F.col("table_name").isin(tables) & of_months(months)
+        done = self.processed().where(wanted).select("table_name", SNAPSHOT).collect()  # at most tables times months
+        return {table: sorted(row[SNAPSHOT] for row in done if row["table_name"] == table) for table in tables}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -135,8 +138,12 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def write_partitioned(
     df: DataFrame, path: str, rebalance: bool = False, sort_by: list[str] | None = None
 ) -> None:
-    """Write by snapshot month and replace only the months that ``df`` has rows of."""
-    if rebalance:
+    """Write by snapshot month and replace only the months that ``df`` has rows of.
+
+    Without adaptive execution, which splits a month over tasks, there is no ``rebalance``: a month must not go
+    through one task.
+    """
+    if rebalance and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         df = df.hint("rebalance", SNAPSHOT)
     if sort_by:
         df = df.sortWithinPartitions(SNAPSHOT, *sort_by)

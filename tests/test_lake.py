@@ -162,3 +162,18 @@ def test_audit_counts_empty_months(sources):
     few = {name: df.where(F.col(s.SNAPSHOT) != MONTHS[1]) for name, df in sources.items()}
     counts = audit.layer_row_audit(few).where(F.col(s.SNAPSHOT) == MONTHS[1])
     assert {row["n"] for row in counts.collect()} == {0}
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
+    """No task gets a whole month, also if all rows are of one month and copies of each other."""
+    lake = new_lake(spark, tmp_path)
+    label = spark.range(0, 400_000, 1, 8).select(
+        F.lit("L").alias("loan_id"), F.uuid().alias("Customer_ID"), F.lit(1).alias("label"),
+        F.lit("x").alias("label_def"), F.lit(MONTHS[0]).alias(s.SNAPSHOT),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    lake.write(label, "gold", "label_store", MONTHS, rebalance=True)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    found = lake.read("gold", "label_store")
+    assert found.count() == 400_000
+    assert found.select(F.input_file_name()).distinct().count() > 4
