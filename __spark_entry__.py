@@ -31,29 +31,28 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_MONTH = date(1996, 3, 1)
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return orders_feed.source_tables(spark, sf_dir)
+def _bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return orders_feed.source_table(spark, sf_dir, table)
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {table: silver.CLEANERS[table](rows) for table, rows in _bronze(spark, sf_dir).items()}
+def _silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return silver.CLEANERS[table](_bronze(spark, sf_dir, table))
 
 
 def _applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.loans_at_application(_silver(spark, sf_dir)["loans"])
+    return gold.loans_at_application(_silver(spark, sf_dir, "loans"))
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = _silver(spark, sf_dir)
-    return gold.customer_features(*[tables[name] for name in backfill.CUSTOMER_TABLES])
+    return gold.customer_features(*[_silver(spark, sf_dir, table) for table in backfill.CUSTOMER_TABLES])
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.feature_store(**_silver(spark, sf_dir))
+    return gold.feature_store(**{table: _silver(spark, sf_dir, table) for table in s.SILVER})
 
 
 def _labels(spark: SparkSession, sf_dir: str, **definition: int) -> DataFrame:
-    return gold.label_store(_silver(spark, sf_dir)["loans"], **definition)
+    return gold.label_store(_silver(spark, sf_dir, "loans"), **definition)
 
 
 def _stores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -64,7 +63,7 @@ def _bronze_written(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The table written by month and read back."""
         path = f"{scratch_root(spark)}/{table}"
-        write_partitioned(_bronze(spark, sf_dir)[table], path, rebalance=True)
+        write_partitioned(_bronze(spark, sf_dir, table), path, rebalance=True)
         return read_table(spark, path, s.BRONZE[table])
 
     return run
@@ -74,7 +73,7 @@ def _csv_scan(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The table written as CSV and read as a source."""
         path = f"{scratch_root(spark)}/{csv.SOURCE_FILES[table]}"
-        csv.write_csv(_bronze(spark, sf_dir)[table], path)
+        csv.write_csv(_bronze(spark, sf_dir, table), path)
         return csv.read_source(spark, path, s.BRONZE[table])
 
     return run
@@ -83,43 +82,45 @@ def _csv_scan(table: str) -> Query:
 def _csv_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clickstream written as one CSV folder per month and read again, all months together."""
     path = f"{scratch_root(spark)}/clickstream"
-    csv.write_csv(_bronze(spark, sf_dir)["clickstream"], path, by_month=True)
+    csv.write_csv(_bronze(spark, sf_dir, "clickstream"), path, by_month=True)
     return csv.read_source(spark, path, s.BRONZE["clickstream"])
 
 
 def _silver_table(table: str) -> Query:
-    return lambda spark, sf_dir: _silver(spark, sf_dir)[table]
+    return lambda spark, sf_dir: _silver(spark, sf_dir, table)
 
 
 def _one_join(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        customers = {table: _customers(spark, sf_dir)[table]}
-        return gold.join_customer_features(_applications(spark, sf_dir), customers)
+        columns = {"attributes": s.ATTRIBUTE_FEATURES, "financials": s.FINANCIAL_FEATURES}
+        rows = _silver(spark, sf_dir, table)
+        wanted = rows.select(*s.CUSTOMER_MONTH, *columns[table]) if table in columns else rows
+        return gold.join_customer_features(_applications(spark, sf_dir), {table: wanted})
 
     return run
 
 
 def _bronze_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir)["loans"].where(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH))
+    return _bronze(spark, sf_dir, "loans").where(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH))
 
 
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_calendar(_bronze(spark, sf_dir)["loans"])
+    return data_calendar(_bronze(spark, sf_dir, "loans"))
 
 
 def _credit_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver(spark, sf_dir)["financials"].select(
+    return _silver(spark, sf_dir, "financials").select(
         *s.CUSTOMER_MONTH, "Credit_History_Age", "Credit_History_Age_Years"
     )
 
 
 def _mob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loans = silver.add_months_on_book(silver.clean_loan_rows(_bronze(spark, sf_dir)["loans"]))
+    loans = silver.add_months_on_book(silver.clean_loan_rows(_bronze(spark, sf_dir, "loans")))
     return loans.select(s.LOAN, s.SNAPSHOT, "loan_start_date", "mob")
 
 
 def _dpd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loans = silver.add_days_past_due(silver.clean_loan_rows(_bronze(spark, sf_dir)["loans"]))
+    loans = silver.add_days_past_due(silver.clean_loan_rows(_bronze(spark, sf_dir, "loans")))
     return loans.select(
         s.LOAN, s.SNAPSHOT, "overdue_amt", "due_amt", "installments_missed", "first_missed_date", "dpd"
     )
@@ -132,12 +133,12 @@ def _null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [*s.CUSTOMER_MONTH, "Annual_Income", "Total_EMI_per_month", "Outstanding_Debt"]
-    return gold.add_ratios(_silver(spark, sf_dir)["financials"].select(*columns))
+    return gold.add_ratios(_silver(spark, sf_dir, "financials").select(*columns))
 
 
 def _risk_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [*s.CUSTOMER_MONTH, "Credit_Utilization_Ratio"]
-    return gold.add_risk_band(_silver(spark, sf_dir)["financials"].select(*columns))
+    return gold.add_risk_band(_silver(spark, sf_dir, "financials").select(*columns))
 
 
 def _written(spark: SparkSession, df: DataFrame, schema) -> DataFrame:
@@ -147,7 +148,7 @@ def _written(spark: SparkSession, df: DataFrame, schema) -> DataFrame:
 
 
 def _pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loans = _written(spark, _silver(spark, sf_dir)["loans"], s.SILVER["loans"])
+    loans = _written(spark, _silver(spark, sf_dir, "loans"), s.SILVER["loans"])
     return loans.where(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH))
 
 
@@ -158,7 +159,7 @@ def _multi_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months written, then one month written again with other values."""
     path = f"{scratch_root(spark)}/attributes"
-    rows = _bronze(spark, sf_dir)["attributes"]
+    rows = _bronze(spark, sf_dir, "attributes")
     write_partitioned(rows, path, rebalance=True)
     again = rows.where(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH)).withColumn("Name", F.upper("Name"))
     write_partitioned(again, path)
@@ -166,19 +167,17 @@ def _overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _required_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _silver(spark, sf_dir)
-    return gold.required_months(
-        gold.present_months(tables["loans"]), *[tables[name] for name in backfill.CUSTOMER_TABLES]
-    )
+    loans, *others = [_silver(spark, sf_dir, table) for table in ["loans", *backfill.CUSTOMER_TABLES]]
+    return gold.required_months(gold.present_months(loans), *others)
 
 
 @lru_cache(maxsize=4)
 def _lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake built from CSV sources over all months of the data."""
     root = scratch_root(spark)
-    for table, rows in _bronze(spark, sf_dir).items():
+    for table, rows in orders_feed.source_tables(spark, sf_dir).items():
         csv.write_csv(rows, f"{root}/source/{csv.SOURCE_FILES[table]}")
-    first, last = _bronze(spark, sf_dir)["loans"].agg(F.min(s.SNAPSHOT), F.max(s.SNAPSHOT)).first()
+    first, last = _bronze(spark, sf_dir, "loans").agg(F.min(s.SNAPSHOT), F.max(s.SNAPSHOT)).first()
     lake = Lake(spark, f"{root}/lake")
     backfill.run_backfill(lake, csv.read_sources(spark, f"{root}/source"), first, last)
     return lake
@@ -217,7 +216,7 @@ def queries() -> dict[str, Query]:
         "gold_label_store_60dpd_9mob": lambda spark, sf_dir: _labels(spark, sf_dir, dpd=60, mob=9),
         "label_distribution": lambda spark, sf_dir: audit.label_distribution(_labels(spark, sf_dir)),
         "dataset_profile": lambda spark, sf_dir: audit.dataset_profile(_stores(spark, sf_dir)),
-        "layer_row_audit": lambda spark, sf_dir: audit.layer_row_audit(_bronze(spark, sf_dir)),
+        "layer_row_audit": lambda spark, sf_dir: audit.layer_row_audit(orders_feed.source_tables(spark, sf_dir)),
         "schema_report": lambda spark, sf_dir: audit.schema_report(_stores(spark, sf_dir)),
         "csv_scan_clickstream": _csv_scan("clickstream"),
         "csv_scan_attributes": _csv_scan("attributes"),

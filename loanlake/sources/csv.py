@@ -2,10 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType
 
 from loanlake import schemas as s
-from loanlake.functions.text import parse_int
 
 # File names of the four sources.
 SOURCE_FILES = {
@@ -21,24 +20,27 @@ def read_text(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("header", True).csv(list(paths))
 
 
-def _typed(c: Column, kind: DataType) -> Column:
-    name = kind.simpleString()
-    if name == "string":
-        return c
-    return parse_int(c) if name == "int" else c.try_cast(name)
-
+def read_source(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A CSV source with the declared columns, found by name and in any order; unreadable values become NULL.
 
-def apply_schema(raw: DataFrame, schema: StructType) -> DataFrame:
-    """Pick the declared columns by name, in any order, and type them. Unreadable values become NULL."""
-    missing = [field.name for field in schema if field.name not in raw.columns]
+    One line is read to learn the header, there is no pass over the data. Numbers are parsed by the reader, whole
+    ones by way of double so that ``5.0`` is accepted for 5.
+    """
+    header = read_text(spark, path).columns
+    missing = [field.name for field in schema if field.name not in header]
     if missing:
         raise ValueError(f"columns missing from the source: {', '.join(missing)}")
-    return raw.select(*[_typed(F.col(field.name), field.dataType).alias(field.name) for field in schema])
+    numbers = [field.name for field in schema if isinstance(field.dataType, NumericType)]
+    parsed = StructType(
+        [StructField(name, DoubleType() if name in numbers else StringType()) for name in header]
+    )
+    raw = spark.read.schema(parsed).option("header", True).csv(path)
+    return raw.select(*[_typed(F.col(field.name), field).alias(field.name) for field in schema])
 
 
-def read_source(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A CSV source with declared types; one line is read to learn the header, no pass over the data."""
-    return apply_schema(read_text(spark, path), schema)
+def _typed(c: Column, field: StructField) -> Column:
+    same = isinstance(field.dataType, (StringType, DoubleType))
+    return c if same else c.try_cast(field.dataType)
 
 
 def read_sources(

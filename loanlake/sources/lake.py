@@ -75,7 +75,10 @@ class Lake:
 
     def _newest_files(self, layer: str, table: str, months: list[date]) -> dict[date, str]:
         """One file name of each month that has rows. Each write gives its files new names."""
-        files = self.read(layer, table, months).select(SNAPSHOT, F.input_file_name().alias("file"))
+        written = find_table(self.spark, self.path(layer, table), self.schemas[layer][table])
+        if written is None:
+            return {}
+        files = written.where(of_months(months)).select(SNAPSHOT, F.input_file_name().alias("file"))
         largest = files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
         return {row[SNAPSHOT]: row["file"] for row in largest.collect()}  # months, bounded by the calendar
 
@@ -90,15 +93,10 @@ class Lake:
             for table, given in months.items()
         ]
         counts = reduce(DataFrame.unionAll, parts).groupBy(*keys).agg(F.count("*").alias("n"))
-        listed = [
-            F.struct(F.lit(table).alias(keys[0]), F.lit(month).alias(keys[1]))
-            for table, given in months.items()
-            for month in given
-        ]
+        listed = [(table, month) for table, given in months.items() for month in given]
         # Tables times months, at most a few thousand rows.
         noted = (
-            self.spark.range(1)
-            .select(F.inline(F.array(*listed)))
+            self.spark.createDataFrame(listed, "table_name string, snapshot_date date")
             .join(counts, keys, "left")
             .select(
                 F.lit(layer).alias("layer"),
@@ -125,14 +123,20 @@ class Lake:
         return {table: sorted(row[SNAPSHOT] for row in done if row["table_name"] == table) for table in tables}
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A parquet table with a declared schema; an empty one if nothing was written there yet."""
+def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A parquet table with a declared schema; None if nothing was written there yet."""
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A parquet table with a declared schema; an empty one if nothing was written there yet."""
+    found = find_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def write_partitioned(

@@ -151,10 +151,13 @@ def loans(orders: DataFrame) -> DataFrame:
     )
 
 
-def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The four source tables from ``<folder>/orders.parquet``."""
-    orders = spark.read.parquet(f"{folder.rstrip('/')}/orders.parquet")
-    return {name: build(orders) for name, build in BUILDERS.items()}
+BUILDERS = {"clickstream": clickstream, "attributes": attributes, "financials": financials, "loans": loans}
 
 
-BUILDERS = {"clickstream": clickstream, "attributes": attributes, "financials": financials, "loans": loans}
+def source_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """One of the four source tables from ``<folder>/orders.parquet``."""
+    return BUILDERS[table](spark.read.parquet(f"{folder.rstrip('/')}/orders.parquet"))
+
+
+def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {table: source_table(spark, folder, table) for table in BUILDERS}

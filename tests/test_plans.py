@@ -3,6 +3,7 @@
 import io
 import re
 from contextlib import redirect_stdout
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,16 +11,18 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registered
 from loanlake import schemas as s
 from loanlake.operators import gold
+from loanlake.operators.silver import CLEANERS
+from loanlake.sources import orders_feed
 from loanlake.sources.lake import Lake, write_partitioned
 
 
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir, tmp_path_factory):
     lake = Lake(spark, str(tmp_path_factory.mktemp("plans")))
-    for layer, tables in [("bronze", registered._bronze(spark, sf_dir)), ("silver", registered._silver(spark, sf_dir))]:
-        for table, df in tables.items():
-            few = df.where(F.col(s.SNAPSHOT).between("1996-01-01", "1996-02-01"))
-            write_partitioned(few, lake.path(layer, table))
+    for table, df in orders_feed.source_tables(spark, sf_dir).items():
+        few = df.where(F.col(s.SNAPSHOT).between("1996-01-01", "1996-02-01"))
+        write_partitioned(few, lake.path("bronze", table))
+        write_partitioned(CLEANERS[table](few), lake.path("silver", table))
     return lake
 
 
@@ -58,14 +61,12 @@ def test_filters_and_columns_reach_the_scan(lake):
 
 
 def test_months_are_partition_filters(lake):
-    one = plan(lake.read("silver", "loans", [__import__("datetime").date(1996, 1, 1)]))
+    one = plan(lake.read("silver", "loans", [date(1996, 1, 1)]))
     assert re.search(r"PartitionFilters: \[.*snapshot_date", one)
 
 
 @pytest.mark.parametrize("table", s.SILVER)
 def test_cleaning_is_one_pass_in_the_engine(lake, table):
-    from loanlake.operators.silver import CLEANERS
-
     text = plan(CLEANERS[table](lake.read("bronze", table)))
     for unwanted in ["Exchange", "Python", "Pandas", "Arrow", "Join"]:
         assert unwanted not in text
@@ -77,10 +78,8 @@ LARGEST_COMPILED_METHOD = 8000
 @pytest.mark.parametrize("table", s.SILVER)
 def test_generated_code_is_compiled(spark, lake, table):
     """The JVM interprets larger methods, at several times the cost per row."""
-    from loanlake.operators.silver import CLEANERS
-
     CLEANERS[table](lake.read("bronze", table)).createOrReplaceTempView("cleaned")
-    text = spark.sql(f"EXPLAIN CODEGEN SELECT * FROM cleaned").first()[0]
+    text = spark.sql("EXPLAIN CODEGEN SELECT * FROM cleaned").first()[0]
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < LARGEST_COMPILED_METHOD - 400
 

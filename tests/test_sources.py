@@ -1,6 +1,7 @@
 """CSV sources."""
 
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def test_columns_are_found_by_name(spark, tmp_path):
     path = write(tmp_path, 'Occupation,Age,extra,SSN,Name,snapshot_date,Customer_ID\n"A, b",24.0,x,,"",2023-01-01,c1\n')
     row = csv.read_source(spark, path, s.BRONZE["attributes"]).first()
     assert row.asDict() == {
-        "Customer_ID": "c1", "snapshot_date": __import__("datetime").date(2023, 1, 1), "Name": None, "Age": "24.0",
+        "Customer_ID": "c1", "snapshot_date": date(2023, 1, 1), "Name": None, "Age": "24.0",
         "SSN": None, "Occupation": "A, b",
     }
 
@@ -64,6 +65,20 @@ def test_round_trip_keeps_blanks_quotes_and_commas(spark, tmp_path):
     assert rows(csv.read_source(spark, path, schema)) == rows(df)
 
 
+def test_months_of_csv_are_replaced_alone(spark, tmp_path):
+    schema = s.BRONZE["attributes"]
+    path = str(tmp_path / "out")
+
+    def months(name, *numbers):
+        rows = [("c1", date(2023, n, 1), name, "30", None, None) for n in numbers]
+        return spark.createDataFrame(rows, schema)
+
+    csv.write_csv(months("a", 1, 2, 3), path, by_month=True)
+    csv.write_csv(months("b", 2), path, by_month=True)
+    found = csv.read_source(spark, path, schema).select(s.SNAPSHOT, "Name").collect()
+    assert sorted((row[0].month, row[1]) for row in found) == [(1, "a"), (2, "b"), (3, "a")]
+
+
 def test_feed_has_every_source(spark, sf_dir):
     tables = orders_feed.source_tables(spark, sf_dir)
     assert {name: df.columns for name, df in tables.items()} == {n: v.names for n, v in s.BRONZE.items()}
