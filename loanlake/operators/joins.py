@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is hot if it has at least ``min_rows`` rows and more than ``1 / max_keys`` of its table.
+    """A key is hot if it has more than ``min_rows`` rows and more than ``1 / max_keys`` of its table.
 
-    So a table has fewer than ``max_keys`` hot keys whatever its size, which bounds what is collected and broadcast,
-    and each slice of a hot key holds at most ``max(min_rows, rows / max_keys)`` rows on average.
+    So a table has fewer than ``max_keys`` hot keys whatever its size, which bounds what is collected and broadcast
+    to about a megabyte, and each slice of a hot key holds at most ``max(min_rows, rows / max_keys)`` rows on average.
+    ``buckets`` is several times ``max_keys``, so that buckets without a hot key stay below that size.
     """
 
-    max_keys: int = 1000
+    max_keys: int = 10_000
     min_rows: int = 2_000_000
-    buckets: int = 1 << 14
+    buckets: int = 1 << 17
 
     def slice_rows(self, total: Column) -> Column:
         return F.greatest(F.lit(self.min_rows), F.ceil(total / F.lit(self.max_keys)))

@@ -50,6 +50,19 @@ def test_schemas_and_months(whole):
             assert {row[0] for row in df.select(s.SNAPSHOT).distinct().collect()} <= set(MONTHS)
 
 
+def test_invariants(whole):
+    loans = whole.read("silver", "loans")
+    features, labels = whole.read("gold", "feature_store"), whole.read("gold", "label_store")
+    # The customer tables have one row per customer and month here, so nothing multiplies.
+    assert features.count() == loans.where("installment_num = 0").count()
+    assert labels.count() == loans.where("mob = 6").count()
+    assert {row[0] for row in labels.select("label").distinct().collect()} <= {0, 1}
+    assert loans.where("dpd < 0 or installments_missed < 0 or overdue_amt < 0 or balance < 0").count() == 0
+    assert loans.where("(dpd > 0) <> (first_missed_date is not null)").count() == 0
+    filled = [c for c in features.columns if c not in s.CLICK_FEATURES]
+    assert features.where(" or ".join(f"{c} is null" for c in filled)).count() == 0
+
+
 def test_one_month_at_a_time_gives_the_same(spark, sources, whole, tmp_path):
     lake = new_lake(spark, tmp_path)
     for month in MONTHS:
@@ -129,6 +142,13 @@ def test_long_ranges(spark, tmp_path):
     assert sorted(row[0] for row in found) == [row[-1] for row in kept]
 
 
+def test_sources_in_month_order_give_the_same(spark, sources, whole, tmp_path):
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, sources, MONTHS, in_month_order=True)
+    for table in s.BRONZE:
+        assert rows(lake.read("bronze", table)) == rows(whole.read("bronze", table))
+
+
 def test_report(whole):
     report = backfill.report(whole)
     features, labels = whole.read("gold", "feature_store").count(), whole.read("gold", "label_store").count()
