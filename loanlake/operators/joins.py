@@ -66,9 +66,9 @@ def hot_keys(
     return found
 
 
-def _slices(df: DataFrame, keys: list[str], hot: DataFrame, name: str) -> DataFrame:
-    """Add the slice count of the row's key, NULL for ordinary keys."""
-    return df.join(F.broadcast(hot.withColumnRenamed("slices", name)), keys, "left")
+def _slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """Add the slice count ``_n`` of the row's key, NULL for ordinary keys."""
+    return df.join(F.broadcast(hot.withColumnRenamed("slices", "_n")), keys, "left")
 
 
 def _spread(df: DataFrame, keys: list[str], hot: DataFrame, slot: str) -> DataFrame:
@@ -78,13 +78,13 @@ def _spread(df: DataFrame, keys: list[str], hot: DataFrame, slot: str) -> DataFr
     that is run again after a lost executor gives the same slots.
     """
     own = F.when(F.col("_n").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_n"))).otherwise(F.lit(0))
-    return _slices(df, keys, hot, "_n").withColumn(slot, own).drop("_n")
+    return _slices(df, keys, hot).withColumn(slot, own).drop("_n")
 
 
 def _copy(df: DataFrame, keys: list[str], hot: DataFrame, slot: str) -> DataFrame:
-    """Copy each row of a hot key to every slot of that key."""
+    """Copy each row of a hot key to every slot of that key; ``_n`` tells these rows apart."""
     slots = F.sequence(F.lit(0), F.coalesce(F.col("_n"), F.lit(1)) - 1)
-    return _slices(df, keys, hot, "_n").withColumn(slot, F.explode(slots)).drop("_n")
+    return _slices(df, keys, hot).withColumn(slot, F.explode(slots))
 
 
 def left_joins(
@@ -109,18 +109,18 @@ def left_joins(
     for name in sorted(rights, key=lambda n: n in hot):
         right = rights[name]
         if "left" in hot:
-            right = _copy(right, keys, hot["left"], "_left_slot")
+            right = _copy(right, keys, hot["left"], "_left_slot").drop("_n")
         if name not in hot:
             left = left.join(right, on, "left")
             continue
         # A left row of a hot key is copied to every slot of the right side. The key exists there, so copies that
         # meet an empty slot are no missing match and are dropped.
         right = _spread(right, keys, hot[name], "_slot").withColumn("_match", F.lit(True))
-        copies = _copy(_slices(left, keys, hot[name], "_hot"), keys, hot[name], "_slot")
         left = (
-            copies.join(right, [*on, "_slot"], "left")
-            .where(F.col("_hot").isNull() | F.col("_match"))
-            .drop("_hot", "_slot", "_match")
+            _copy(left, keys, hot[name], "_slot")
+            .join(right, [*on, "_slot"], "left")
+            .where(F.col("_n").isNull() | F.col("_match"))
+            .drop("_n", "_slot", "_match")
         )
     return left.drop("_left_slot")
 
@@ -138,10 +138,10 @@ def inner_join(
     on = list(keys)
     if "left" in hot:
         left = _spread(left, keys, hot["left"], "_left_slot")
-        right = _copy(right, keys, hot["left"], "_left_slot")
+        right = _copy(right, keys, hot["left"], "_left_slot").drop("_n")
         on.append("_left_slot")
     if "right" in hot:
-        left = _copy(left, keys, hot["right"], "_slot")
+        left = _copy(left, keys, hot["right"], "_slot").drop("_n")
         right = _spread(right, keys, hot["right"], "_slot")
         on.append("_slot")
     return left.join(right, on, "inner").drop("_left_slot", "_slot")
