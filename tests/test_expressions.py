@@ -108,6 +108,13 @@ def test_days_past_due(spark, any_ansi):
     assert apply(spark, label, ["date", "double", "double"], cases) == [0, 0, 1, 1, 0, 0]
 
 
+def test_more_installments_than_an_int_holds(spark, any_ansi):
+    """A plain cast would wrap around to a date that does not exist; the number counts as unknown instead."""
+    case = [(date(2023, 8, 1), 1e12, 0.1)]
+    assert apply(spark, lambda a, b, c: loans.installments_missed(b, c), ["date", "double", "double"], case) == [0]
+    assert apply(spark, _dpd, ["date", "double", "double"], case) == [None]
+
+
 def test_non_negative(spark, any_ansi):
     found = apply(spark, loans.non_negative, ["double"], [-5.0, None, 7.0, math.nan])
     assert found[:3] == [0.0, 0.0, 7.0] and math.isnan(found[3])
