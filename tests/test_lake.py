@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from conftest import rows
 from loanlake import schemas as s
@@ -149,6 +150,21 @@ def test_sources_in_month_order_give_the_same(spark, sources, whole, tmp_path):
         assert rows(lake.read("bronze", table)) == rows(whole.read("bronze", table))
 
 
+def test_features_beyond_the_declared_ones(spark, sources, whole, tmp_path):
+    """A source with more features needs only wider schemas."""
+    wider = {layer: dict(tables) for layer, tables in s.TABLES.items()}
+    for layer, table in [("bronze", "clickstream"), ("silver", "clickstream"), ("gold", "feature_store")]:
+        wider[layer][table] = StructType([*s.TABLES[layer][table].fields, StructField("fe_21", IntegerType())])
+    source = str(tmp_path / "source")
+    csv.write_csv(sources["clickstream"].withColumn("fe_21", F.col("fe_20") * 2), source)
+    more = {**sources, "clickstream": csv.read_source(spark, source, wider["bronze"]["clickstream"])}
+    lake = Lake(spark, str(tmp_path / "lake"), wider)
+    backfill.run_backfill(lake, more, MONTHS[0], MONTHS[0])
+    features = lake.read("gold", "feature_store")
+    assert rows(features.drop("fe_21")) == rows(whole.read("gold", "feature_store", [MONTHS[0]]))
+    assert features.where("fe_20 <> 0 and fe_21 = fe_20 * 2").count() > 0
+
+
 def test_report(whole):
     report = backfill.report(whole)
     features, labels = whole.read("gold", "feature_store").count(), whole.read("gold", "label_store").count()
