@@ -1,7 +1,7 @@
 """Registered queries.
 
-``queries()`` runs every operator on tables derived from the given ``orders`` table, ``oracle_sql()`` holds the same
-question as SQL for another engine.
+``queries()`` runs every operator: those of the loan pipeline on tables derived from the given ``orders`` table, those
+for training data on the given tables. ``oracle_sql()`` holds the same question as SQL for another engine.
 """
 
 from __future__ import annotations
@@ -26,6 +26,14 @@ from loanlake.sources.lake import Lake, read_table, write_partitioned
 from loanlake.sources.scratch import scratch_root
 from oracle_queries import ORACLE_SQL
 
+try:
+    import corpus_pipeline
+    from loanlake.llm import queries as llm_queries
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "loanlake.llm"):
+        raise
+    llm_queries = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ONE_MONTH = date(1996, 3, 1)
@@ -198,6 +206,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return pipeline_queries() | prepared_queries()
+
+
+def oracle_sql() -> dict[str, str]:
+    known = dict(ORACLE_SQL)
+    if llm_queries:
+        known |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            known["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return known
+
+
+def prepared_queries() -> dict[str, Query]:
+    """Operators for training data and the pipeline of them, if that subpackage is there."""
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+
+
+def pipeline_queries() -> dict[str, Query]:
     return {
         "snapshot_calendar": _calendar,
         "bronze_snapshot_slice": _bronze_slice,
@@ -235,7 +261,3 @@ def queries() -> dict[str, Query]:
             _lake(spark, sf_dir).read("gold", "label_store")
         ),
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)

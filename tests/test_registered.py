@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as registered
 from conftest import rows
 
-QUERIES = registered.queries()
+QUERIES = registered.pipeline_queries()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def database(sf_dir):
 
 
 def test_each_query_has_sql():
-    assert set(QUERIES) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(registered.ORACLE_SQL)
 
 
 @pytest.mark.parametrize("name", QUERIES)
