@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import line_dedup, sharding, url_rules
+from loanlake.llm import line_dedup, packing, sharding, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,8 @@ LISTED_RULES = [
     url_rules.ListedRule("allow", "org", "/fr/"),
 ]
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,6 +40,14 @@ def line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(_documents(spark, sf_dir))
 
 
+def packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.encode_and_read_back(_documents(spark, sf_dir), TOKENIZER)
+
+
+def minimum_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), TOKENIZER)
+
+
 def association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
@@ -47,7 +58,9 @@ def queries() -> dict[str, Query]:
     return {
         "op2_consistent_hash_shards": consistent_hash_shards,
         "op3_line_dedup_runs": line_dedup_runs,
+        "op4_packed_token_files": packed_token_files,
         "op8_association_url_filter": association_url_filter,
+        "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
     }
 
 
