@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import line_dedup, packing, sharding, token_file, url_rules
+from loanlake.llm import decontamination, line_dedup, packing, sharding, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def minimum_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), TOKENIZER)
 
 
+def string_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op2_consistent_hash_shards": consistent_hash_shards,
         "op3_line_dedup_runs": line_dedup_runs,
         "op4_packed_token_files": packed_token_files,
+        "op5_string_tiling_decontamination": string_tiling_decontamination,
         "op8_association_url_filter": association_url_filter,
         "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
     }
