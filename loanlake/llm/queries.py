@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import decontamination, line_dedup, packing, sharding, token_file, url_rules
+from loanlake.llm import decontamination, line_dedup, packing, quality, sharding, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,11 @@ def association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), labels, LISTED_RULES)
 
 
+def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.drop("text_hash")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_consistent_hash_shards": consistent_hash_shards,
@@ -66,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op5_string_tiling_decontamination": string_tiling_decontamination,
         "op8_association_url_filter": association_url_filter,
         "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
+        "op10_kneser_ney_quality": kneser_ney_quality,
     }
 
 

@@ -56,7 +56,8 @@ class Words:
     data: np.ndarray
 
 
-def split_words(column: pa.Array) -> Words:
+def split_words(column: pa.Array, fold: bool = True) -> Words:
+    """The words of all texts; without ``fold`` A-Z and a-z differ."""
     data, first_byte = text_bytes(column)
     space = _SPACE[data]
     inner = first_byte[(first_byte > 0) & (first_byte < len(data))]
@@ -68,7 +69,7 @@ def split_words(column: pa.Array) -> Words:
     after[:-1] = space[1:]
     after[inner - 1] = True
     ends = np.flatnonzero(~space & after) + 1
-    padded = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+    padded = np.concatenate([_LOWER[data] if fold else data, np.zeros(8, np.uint8)])
     eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
     sizes = ends - starts
     hashes = mix(sizes.astype(np.uint64) * _STEP + _STEP)
