@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import decontamination, line_dedup, packing, quality, sharding, token_file, url_rules
+from loanlake.llm import decontamination, line_dedup, ngram_jaccard, packing, quality, sharding, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.link_documents(_documents(spark, sf_dir))
+
+
 def consistent_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(_documents(spark, sf_dir), n_shards=8)
     return placed.select(
@@ -65,6 +69,7 @@ def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard_join": ngram_jaccard_join,
         "op2_consistent_hash_shards": consistent_hash_shards,
         "op3_line_dedup_runs": line_dedup_runs,
         "op4_packed_token_files": packed_token_files,
@@ -80,6 +85,31 @@ _LINE_KEY = r"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id,
+        unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+    FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y, h.n = a.n AND h.n = b.n AS equal
+    FROM shared h JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 5 * h.n >= 4 * (a.n + b.n - h.n)),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+SELECT doc_id, min(other) AS class_id,
+    least(doc_id, coalesce((SELECT min(y) FROM links WHERE x = doc_id AND equal), doc_id)) AS copy_id,
+    (SELECT count(*) FROM links WHERE x = doc_id) AS n_links
+FROM reached GROUP BY doc_id""",
         "op3_line_dedup_runs": f"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
