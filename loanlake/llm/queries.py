@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import compact_windows, decontamination, line_dedup, ngram_jaccard, packing, quality, sharding, token_file, url_rules
+from loanlake.llm import compact_windows, decontamination, line_dedup, ngram_jaccard, packing, quality, sharding, suffix_dedup, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,10 @@ def compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.find_passages(_documents(spark, sf_dir))
 
 
+def induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
 def association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
@@ -79,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op4_packed_token_files": packed_token_files,
         "op5_string_tiling_decontamination": string_tiling_decontamination,
         "op6_compact_window_passages": compact_window_passages,
+        "op7_induced_suffix_dedup": induced_suffix_dedup,
         "op8_association_url_filter": association_url_filter,
         "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
         "op10_kneser_ney_quality": kneser_ney_quality,
