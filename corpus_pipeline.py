@@ -1,8 +1,51 @@
-"""The corpus pipeline: operators for training data applied one after the other to ``documents``."""
+"""The corpus pipeline: operators for training data applied one after the other to ``documents``.
+
+Each stage takes what the one before has kept and returns the columns of ``documents``; the last returns the pieces of
+packed sequences. SQL can express neither the model of the first stage nor the tokenizer of the last, so there is none.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from loanlake.llm import decontamination, line_dedup, ngram_jaccard, packing, quality
+from loanlake.llm.stash import Stash
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.keep_one_of_each_class(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("repeated_lines", repeated_lines),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("packed_sequences", packed_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. What a stage has kept is written and read again by the next."""
+    stash = Stash(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stash.keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

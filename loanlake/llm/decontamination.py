@@ -22,6 +22,8 @@ from loanlake.llm.words import SHINGLE, shingles, slices, split_words
 
 #: Items are read in blocks of at most so many bytes of text; each block is sent to all executors and meets all texts.
 BLOCK_BYTES = 8_000_000
+#: Contaminated texts are broadcast up to this count; beyond it they are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER = 1 << 20
 FOUND = "doc_id long, item_id long, item_words long, covered_words long, n_tiles long, longest_tile long"
@@ -200,3 +202,13 @@ def find_contamination(
     if found is None:
         found = spark.createDataFrame([], FOUND)
     return found.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
+
+
+def without_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that an item of the benchmark contaminates, found again by a hash of the text."""
+    marked = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    out = find_contamination(marked, benchmark).select(F.col("doc_id").alias("_hash")).distinct()
+    few = out.count() <= BROADCAST_ROWS
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_hash"))
+    same = F.col("text_hash") == F.col("_hash")
+    return rows.join(F.broadcast(out) if few else out, same, "left_anti").select("row.*")

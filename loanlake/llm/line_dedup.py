@@ -8,7 +8,7 @@ functions are used.
 
 Defined cases: a NULL or empty text is one empty line. Rows are documents, so repeated rows count each; rows that
 share the largest id of a key all keep it. NULL ids come last; they count, and keep a key only if no other id has it.
-Extra columns are ignored by ``drop_repeated_lines`` and kept by ``dedup_texts``.
+Extra columns are kept as they are, or ignored where ids are returned.
 """
 
 from functools import reduce
@@ -112,20 +112,20 @@ def _row_keys(min_chars: int) -> Column:
 
 
 def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4) -> DataFrame:
-    """``docs`` with ``kept_text, n_lines, n_dropped``.
+    """``row, doc_id, text, kept_text, n_lines, n_dropped`` of every row; ``row`` holds its columns.
 
     Lines whose key has at least ``min_chars`` code points and is found in at least ``min_docs`` documents are
     dropped, except in the largest ``doc_id`` that holds the key. Other lines stay, joined by line breaks.
     """
     stash = Stash(docs.sparkSession)
-    gone = stash.keep(dropped_lines(docs, stash, min_chars, min_docs, batches), "dropped")
+    gone = stash.keep(dropped_lines(docs.select("doc_id", "text"), stash, min_chars, min_docs, batches), "dropped")
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "dropped")
     lines, n = _lines(F.col("text")), F.size(_lines(F.col("text")))
     kept = F.array_except(F.sequence(F.lit(0), n - 1), "dropped")
     joined = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
-    return docs.join(gone, same, "left").select(
-        *[docs[c] for c in docs.columns],
+    return docs.select(F.struct("*").alias("row"), "doc_id", "text").join(gone, same, "left").select(
+        "row", "doc_id", "text",
         F.when(F.col("dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(joined).alias("kept_text"),
         n.cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
@@ -136,3 +136,12 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     """``doc_id, n_lines, n_dropped, kept_sha256`` of every document."""
     done = dedup_texts(docs.select("doc_id", "text"), min_chars, min_docs, batches)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines dropped from ``text``; ``n_chars`` follows. Texts that lose nothing stay as they are."""
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    own = {c: F.col("row").getField(c) for c in docs.columns}
+    columns = [F.when(changed, new[c]).otherwise(own[c]) if c in new else own[c] for c in docs.columns]
+    return dedup_texts(docs).select(*[x.alias(c) for x, c in zip(columns, docs.columns, strict=True)])

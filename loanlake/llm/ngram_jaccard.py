@@ -88,7 +88,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, set_key, signature, bands``; the last three are NULL for texts without words or id."""
+    """``doc_id, text_hash, set_key, signature, bands``; the last three are NULL for texts without words or id."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -101,11 +101,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 own = minhash(found)
                 keys.append(set_key(found)), values.append(own.tobytes()), bands.append(band_keys(own))
             arrays = [pa.array(keys, pa.binary()), pa.array(values, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            names = ["doc_id", "set_key", "signature", "bands"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names)
+            own = [batch.column(c) for c in ("doc_id", "text_hash")]
+            yield pa.RecordBatch.from_arrays([*own, *arrays], ["doc_id", "text_hash", "set_key", "signature", "bands"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(sign, "doc_id long, set_key binary, signature binary, bands array<long>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(sign, "doc_id long, text_hash long, set_key binary, signature binary, bands array<long>")
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
@@ -235,15 +235,15 @@ def _compare(threshold: float, tolerance: float):
 
 
 def link_documents(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
-    """``doc_id, class_id, copy_id, n_links`` of every row.
+    """``doc_id, text_hash, class_id, copy_id, n_links`` of every row.
 
     Documents link if the similarity of their sets reaches ``threshold``. ``n_links`` counts the other documents a
     document links to, ``class_id`` is the least id of those connected to it by links, and ``copy_id`` the least id of
     those with an equal set. Links within the classes of equal sets need no comparison; a link between classes counts
     for all documents of both.
     """
-    spark = docs.sparkSession
-    stash = Stash(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    stash = Stash(docs.sparkSession)
     signed = stash.keep(signatures(docs), "signed")
     classes = stash.keep(
         signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
@@ -292,20 +292,22 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1
         ),
         "answers",
     )
-    return signed.select("doc_id", "set_key").join(answers, "set_key", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
+    return signed.select("doc_id", "text_hash", "set_key").join(answers, "set_key", "left").select(
+        "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
 def keep_one_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each class, that with the least id; its repeated rows are dropped as well.
+    """``docs`` with one document of each class, that with the least id; rows that repeat it stay with it.
 
     Rows without an id or without words stay.
     """
-    judged = link_documents(docs.select("doc_id", "text"), threshold)
-    drop = judged.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct()
-    stash = Stash(docs.sparkSession)
-    drop = stash.keep(drop, "dropped")
+    judged = link_documents(docs, threshold).where("doc_id <> class_id")
+    drop = judged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    drop = Stash(docs.sparkSession).keep(drop, "dropped")
     few = drop.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(drop) if few else drop, F.col("doc_id") == F.col("_id"), "left_anti")
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
+    rows = docs.select(F.struct("*").alias("row"), *own)
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    return rows.join(F.broadcast(drop) if few else drop, same, "left_anti").select("row.*")

@@ -25,6 +25,8 @@ from loanlake.llm.words import Words, mix, shingles, slices, split_words, text_b
 ORDER = 4
 #: Text edge, white space, a-z, digit, punctuation, other ASCII, and eight for the bytes of other characters.
 SYMBOLS = 39
+#: Rejected rows are broadcast up to this count; beyond it they are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _EDGE, _SPACE, _A, _DIGIT, _MARK, _OTHER, _REST = 0, 1, 2, 28, 29, 30, 31
 _SPACES = np.array([0x20, *range(0x09, 0x0E)])
 
@@ -257,3 +259,17 @@ def judge(docs: DataFrame, width: float = 5.0, least_spread: float = 0.01, stead
         F.exp("lower").alias("lowest_perplexity"), F.exp("upper").alias("highest_perplexity"),
         (~F.col("base_failed") & inside).alias("kept"),
     )
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that the rules or the bands reject, found again by id, language and text."""
+    judged = judge(docs.select("doc_id", "lang", "text"))
+    own = ["doc_id", "lang", "text_hash"]
+    out = judged.where(~F.col("kept")).select(*[F.col(c).alias(f"_{c}") for c in own]).distinct()
+    out = Stash(docs.sparkSession).keep(out, "rejected")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "lang", F.xxhash64("text").alias("text_hash"))
+    same = F.lit(True)
+    for c in own:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    few = out.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(out) if few else out, same, "left_anti").select("row.*")

@@ -29,7 +29,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard.link_documents(_documents(spark, sf_dir))
+    return ngram_jaccard.link_documents(_documents(spark, sf_dir)).drop("text_hash")
 
 
 def consistent_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
