@@ -1,18 +1,23 @@
 """Token ids of many texts with a public tokenizer file.
 
 The tokenizer drops white space and lets no token reach over it, so a text's ids are the ids of its words one after
-the other, where words are split at ``[\\x20\\x09-\\x0D]``. Each distinct word of a batch is encoded once, and common
-words once per process; tests compare with encoding whole texts.
+the other, where words are split at ``[\\x20\\x09-\\x0D]``. Nor does a token reach from a letter to the marks after it,
+and case doesn't matter: a word is its base in lower case and its last marks. Each distinct base of a batch
+is encoded once, and common ones once per process; tests compare with encoding whole texts.
 """
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept between batches (about 60 MB); others are encoded again in the next batch that has them.
-CACHED_WORDS = 300_000
+#: Words and bases kept between batches (about 150 MB); others are encoded again in the next batch that has them.
+CACHED_WORDS = 400_000
+CACHED_BASES = 500_000
+#: Marks that a word may end in; not the apostrophe, which starts endings, and no word with ``<|`` of special tokens.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class _Numbers(dict):
@@ -20,46 +25,72 @@ class _Numbers(dict):
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.words: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
-        self.new.append(word)
+        self.words.append(word)
         return number
 
+    def forget(self, keep: int) -> None:
+        for word in self.words[keep:]:
+            del self[word]
+        del self.words[keep:]
+
 
 class WordEncoder:
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS, cached_bases: int = CACHED_BASES):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._cached_words = cached_words
-        self._numbers = _Numbers()
+        self._cached_words, self._cached_bases = cached_words, cached_bases
+        self._words, self._bases = _Numbers(), _Numbers()
+        self._parts = np.zeros((0, 2), np.int64)  # of each word, the numbers of its base and of its last marks
         self._ids = np.zeros(0, np.uint32)
         self._first = np.zeros(1, np.int64)
-        self._kept: list[bytes] = []
+        self._parts_of(b"")
 
     @property
     def vocabulary(self) -> int:
         return self._tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _parts_of(self, word: bytes) -> tuple[int, int]:
+        if word.isalpha():  # letters are those of ASCII here
+            return self._bases[word.lower()], 0
+        base = word.rstrip(_MARKS)
+        mark = word[len(base) :]
+        if mark and base[-1:].isalpha() and b"<|" not in word:
+            word = base
+        else:
+            mark = b""
+        return self._bases[word.lower() if word.isascii() else word], self._bases[mark]
+
     def _learn(self) -> None:
-        new, self._numbers.new = self._numbers.new, []
+        new = self._words.words[len(self._parts) :]
+        if new:
+            parts = np.fromiter(chain.from_iterable(map(self._parts_of, new)), np.int64, 2 * len(new))
+            self._parts = np.concatenate([self._parts, parts.reshape(-1, 2)])
+        new = self._bases.words[len(self._first) - 1 :]
         if not new:
             return
-        found = self._tokenizer.encode_batch([word.decode() for word in new], add_special_tokens=False)
-        lists = [x.ids for x in found]
+        # A word of a-z is one unit to the model, as it is.
+        plain = self._tokenizer.model.tokenize
+        lists = [[t.id for t in plain(w.decode())] if w.isalpha() else None for w in new]
+        rest = [i for i, ids in enumerate(lists) if ids is None]
+        texts = [new[i].decode() for i in rest]
+        for i, found in zip(rest, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            lists[i] = found.ids
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
         self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
         self._ids = np.concatenate([self._ids, flat])
-        self._kept += new
 
     def _forget(self) -> None:
-        for word in self._kept[self._cached_words :]:
-            del self._numbers[word]
-        del self._kept[self._cached_words :]
-        self._first = self._first[: len(self._kept) + 1]
+        self._words.forget(self._cached_words)
+        self._parts = self._parts[: len(self._words)]
+        keep = max(self._cached_bases, int(self._parts.max(initial=0)) + 1)
+        self._bases.forget(keep)
+        self._first = self._first[: len(self._bases) + 1]
         self._ids = self._ids[: self._first[-1]]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,14 +100,15 @@ class WordEncoder:
             own = text.split()
             counts[i + 1] = len(own)
             words += own
-        numbers = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self._words.__getitem__, words), np.int64, len(words))
         self._learn()
-        begins = self._first[numbers]
-        sizes = self._first[numbers + 1] - begins
+        parts = self._parts[numbers].ravel()
+        begins = self._first[parts]
+        sizes = self._first[parts + 1] - begins
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self._ids[np.arange(total) + np.repeat(begins - (ends - sizes), sizes)]
-        first = np.concatenate([[0], ends])[np.cumsum(counts)]
+        first = np.concatenate([[0], ends])[2 * np.cumsum(counts)]
         self._forget()
         return ids, first
 
