@@ -77,7 +77,8 @@ def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def _batches(lines: DataFrame, n: int) -> list[DataFrame]:
     """The lines in parts of about as many rows, from the largest ids to the smallest."""
-    cuts = sorted({int(x) for x in lines.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01)}, reverse=True)
+    shares = [i / n for i in range(1, n)]
+    cuts = sorted({int(x) for x in lines.approxQuantile("doc_id", shares, 0.01)}, reverse=True) if shares else []
     doc, parts, above = F.col("doc_id"), [], None
     for cut in cuts:
         inside = doc > cut if above is None else (doc > cut) & (doc <= above)

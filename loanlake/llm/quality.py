@@ -72,13 +72,15 @@ def count_runs(docs: DataFrame) -> DataFrame:
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off counts of 0, 1, 2 and 3 or more, from how many runs have counts of 1 to 4."""
+    """What is taken off counts of 0, 1, 2 and 3 or more, from how many runs have counts of 1 to 4.
+
+    At least a tenth, so that runs never seen have some probability."""
     n = [float((counts == k).sum()) for k in range(1, 5)]
     if min(n) == 0:
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n[0] / (n[0] + 2 * n[1])
     off = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
-    return np.array([0.0, *(min(max(x, 0.0), k) for k, x in zip((1, 2, 3), off, strict=True))])
+    return np.array([0.0, *(min(max(x, 0.1), k) for k, x in zip((1, 2, 3), off, strict=True))])
 
 
 @dataclass
