@@ -42,6 +42,7 @@ BROADCAST_KEYS = 1_000_000
 _TEXT = ["text_a", "text_b"]
 _BASE = 0x9E3779B97F4A7C15
 _PLACE_BITS = 24
+STEP = 1 << 20
 
 
 def _power(n: int) -> np.uint64:
@@ -66,46 +67,54 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
 
 
 def _least_places(hashes: np.ndarray) -> np.ndarray:
-    """For each string, the place of the least hash among its ``REACH + 1`` runs, the leftmost of equal ones."""
-    places = np.empty(max(0, len(hashes) - REACH), np.int64)
-    step = (1 << _PLACE_BITS) - REACH
+    """For each string, the place of the least hash among its ``REACH + 1`` runs, the leftmost of equal ones.
+
+    The lowest bits of the hash give way to the place.
+    """
     mask = np.uint64((1 << _PLACE_BITS) - 1)
-    for begin in range(0, len(places), step):
-        part = hashes[begin : begin + step + REACH]
-        x = (part & ~mask) | np.arange(len(part), dtype=np.uint64)
-        size = 1
-        while 2 * size <= REACH + 1:
-            x = np.minimum(x[:-size], x[size:])
-            size *= 2
-        rest = REACH + 1 - size
-        x = np.minimum(x[:-rest], x[rest:]) if rest else x
-        places[begin : begin + len(x)] = begin + (x & mask).astype(np.int64)
-    return places
+    x = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
+    size = 1
+    while 2 * size <= REACH + 1:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    rest = REACH + 1 - size
+    x = np.minimum(x[:-rest], x[rest:]) if rest else x
+    return (x & mask).astype(np.int64)
 
 
 def anchors(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     """``(text, place, from, to, hash)`` of each anchor: strings that start at ``from`` to ``to`` have it.
 
-    Places count from the start of the text.
+    Places count from the start of the text. Works on ``STEP`` strings at a time, so memory follows the number of
+    anchors, not the length of a text.
     """
-    if len(data) < LENGTH:
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
-    hashes = gram_hashes(data)
-    places = _least_places(hashes)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(places)]
-    inside = np.flatnonzero(np.arange(len(places)) + LENGTH <= first[text + 1])
-    places, text = places[inside], text[inside]
-    new = np.ones(len(places), bool)
-    new[1:] = (places[1:] != places[:-1]) | (text[1:] != text[:-1])
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(places)) - 1
-    text, start = text[begin], first[text[begin]]
-    return text, places[begin] - start, inside[begin] - start, inside[end] - start, hashes[places[begin]]
+    found = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)]
+    for begin in range(0, len(data) - LENGTH + 1, STEP):
+        hashes = gram_hashes(data[begin : begin + STEP + LENGTH - 1])
+        places = _least_places(hashes)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(np.clip(first, begin, begin + len(places))))
+        inside = np.flatnonzero(np.arange(begin, begin + len(places)) + LENGTH <= first[text + 1])
+        if not len(inside):
+            continue
+        places, text = places[inside], text[inside]
+        new = np.ones(len(places), bool)
+        new[1:] = (places[1:] != places[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(new)
+        to = np.append(at[1:], len(places)) - 1
+        found.append((text[at], places[at] + begin, inside[at] + begin, inside[to] + begin, hashes[places[at]]))
+    text, place, begin, end, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    # A run that goes on in the next step is one run.
+    new = np.ones(len(place), bool)
+    new[1:] = place[1:] != place[:-1]
+    at = np.flatnonzero(new)
+    to = np.append(at[1:], len(place))[: len(at)] - 1
+    text, start = text[at], first[text[at]]
+    return text, place[at] - start, begin[at] - start, end[to] - start, hashes[at]
 
 
 def _anchor_hashes(texts: DataFrame) -> DataFrame:
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP):
             found = anchors(*text_bytes(batch.column("text")))[-1]
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["anchor"])
 
@@ -114,7 +123,7 @@ def _anchor_hashes(texts: DataFrame) -> DataFrame:
 
 def _anchor_rows(texts: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP):
             text, place, begin, end, found = anchors(*text_bytes(batch.column("text")))
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays(

@@ -66,11 +66,18 @@ def test_gram_hashes_depend_on_bytes_alone():
     assert len(found) == 300 - sd.GRAM + 1 and (found[:10] == found[10:20]).all() and len(set(found[:10])) == 10
 
 
-def test_least_places_in_parts(monkeypatch):
+def test_anchors_by_definition_and_in_steps(monkeypatch):
     rng = np.random.default_rng(2)
-    hashes = rng.integers(0, 2**40, 3000).astype(np.uint64) << np.uint64(24)
-    whole = sd._least_places(hashes)
-    want = [k + int(np.argmin(hashes[k : k + sd.REACH + 1])) for k in range(len(hashes) - sd.REACH)]
-    assert whole.tolist() == want
-    monkeypatch.setattr(sd, "_PLACE_BITS", 9)
-    assert sd._least_places(hashes).tolist() == want
+    sizes = [0, 199, 200, 1500, 0, 201, 900]
+    data = rng.integers(97, 100, sum(sizes)).astype(np.uint8)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    want = {}
+    for text, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+        hashes = sd.gram_hashes(data[a:b]) >> np.uint64(24) if b - a >= sd.LENGTH else []
+        for k in range(max(0, b - a - sd.LENGTH + 1)):
+            want.setdefault((text, k + int(np.argmin(hashes[k : k + sd.REACH + 1]))), []).append(k)
+    want = [(*key, min(k), max(k)) for key, k in want.items()]
+    for step in (1 << 20, 1000, 7):
+        monkeypatch.setattr(sd, "STEP", step)
+        found = sd.anchors(data, first)
+        assert list(zip(*(x.tolist() for x in found[:4]), strict=True)) == want
