@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
-from loanlake.llm.tokens import encoder, with_end
+from loanlake.llm.tokens import BATCH_BYTES, encoder, with_end
 from loanlake.llm.words import slices
 
 SALTS = 64
@@ -78,7 +78,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH_BYTES):
             ids, first = with_end(*words.encode(batch.column("text")), end_id)
             sizes = np.diff(first)
             n = -(-sizes // window)

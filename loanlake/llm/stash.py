@@ -1,10 +1,26 @@
 """Intermediate tables in the folder that all executors share."""
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.sources.scratch import scratch_root
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if that place exists on their machine.
+
+    A cluster has the package installed or in ``--py-files``; a local session may have it on the driver's path only.
+    """
+    here = os.path.abspath(__file__)
+    for _ in range(3):
+        here = os.path.dirname(here)
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, here])
+
+
 class Stash:
     """Tables of one run below ``spark.checkpoint.dir``.
 
@@ -13,6 +29,7 @@ class Stash:
     """
 
     def __init__(self, spark: SparkSession):
+        share_package(spark)
         self._spark = spark
         self._root = scratch_root(spark)
         self._count = 0

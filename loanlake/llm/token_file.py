@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
-from loanlake.llm.tokens import encoder, with_end
+from loanlake.llm.tokens import BATCH_BYTES, encoder, with_end
 from loanlake.llm.words import slices
 
 BLOCK = 4096
@@ -177,7 +177,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, out, name = encoder(tokenizer), None, ""
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH_BYTES):
             if out is None:
                 where, path = _filesystem(folder)
                 where.create_dir(path, recursive=True)
