@@ -30,7 +30,9 @@ FOUND = "doc_id long, item_id long, item_words long, covered_words long, n_tiles
 
 
 def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n, _BASE)]).astype(np.uint64))
+    steps = np.full(n + 1, _BASE)
+    steps[0] = 1
+    return np.cumprod(steps)
 
 
 def _prefix(words: np.ndarray) -> np.ndarray:
