@@ -48,4 +48,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stash.keep(stage(spark, docs, sf_dir), name)
+        stash.keep_only(docs)
     return STAGES[-1][1](spark, docs, sf_dir)

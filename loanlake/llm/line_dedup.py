@@ -23,6 +23,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["hi", "lo"]
 #: Frequent keys are broadcast up to this count (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_KEYS = 500_000
+#: Positions of lines to drop are broadcast up to this count (some 40 MB with their documents); beyond it texts are
+#: shuffled to meet them.
+BROADCAST_LINES = 500_000
 
 
 class LineRuns:
@@ -120,7 +123,11 @@ def dedup_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     """
     stash = Stash(docs.sparkSession)
     gone = stash.keep(dropped_lines(docs.select("doc_id", "text"), stash, min_chars, min_docs, batches), "dropped")
+    stash.keep_only(gone)
+    n_dropped = gone.agg(F.sum(F.size("dropped")).alias("n")).first()["n"] or 0
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "dropped")
+    if n_dropped <= BROADCAST_LINES:
+        gone = F.broadcast(gone)
     lines, n = _lines(F.col("text")), F.size(_lines(F.col("text")))
     kept = F.array_except(F.sequence(F.lit(0), n - 1), "dropped")
     joined = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")

@@ -292,6 +292,7 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1
         ),
         "answers",
     )
+    stash.keep_only(signed, answers)
     return signed.select("doc_id", "text_hash", "set_key").join(answers, "set_key", "left").select(
         "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),

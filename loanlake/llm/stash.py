@@ -33,6 +33,8 @@ class Stash:
         self._spark = spark
         self._root = scratch_root(spark)
         self._count = 0
+        self._paths: dict[int, str] = {}
+        self._tables: list[DataFrame] = []  # alive, so that their ids stay theirs
 
     def path(self, name: str) -> str:
         self._count += 1
@@ -42,4 +44,17 @@ class Stash:
         """Write ``df`` and read it back."""
         path = self.path(name)
         df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        kept = self._spark.read.schema(df.schema).parquet(path)
+        self._paths[id(kept)] = path
+        self._tables.append(kept)
+        return kept
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all tables of this run but the given ones, which are all that is read from now on."""
+        wanted = {self._paths[id(table)] for table in tables}
+        jvm, conf = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
+        for path in set(self._paths.values()) - wanted:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self._tables = list(tables)
+        self._paths = {id(table): self._paths[id(table)] for table in tables}

@@ -376,6 +376,7 @@ def remove_repeats(docs: DataFrame, most_pieces: int = MOST_PIECES) -> DataFrame
         F.lit(nothing).alias("kept_sha256"),
     )
     changed = stash.keep(cut.dropDuplicates(_TEXT).unionAll(gone), "changed")
+    stash.keep_only(known, changed)
     removed = F.when(F.col("n_removed") < 0, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
     return known.join(changed, _TEXT, "left").select(
         "doc_id", "n_bytes", removed.cast("long").alias("n_removed"),
