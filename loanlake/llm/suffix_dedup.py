@@ -42,7 +42,7 @@ BROADCAST_KEYS = 1_000_000
 _TEXT = ["text_a", "text_b"]
 _BASE = 0x9E3779B97F4A7C15
 _PLACE_BITS = 24
-STEP = 1 << 20
+STEP = 1 << 18
 
 
 def _power(n: int) -> np.uint64:
