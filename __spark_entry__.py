@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loanlake import schemas as s
-from loanlake.functions.calendar import data_calendar, month_starts
+from loanlake.functions.calendar import month_starts, snapshot_calendar
 from loanlake.operators import audit, gold, silver
+from loanlake.operators.joins import SkewPolicy
 from loanlake.plans import backfill
 from loanlake.sources import csv, orders_feed
 from loanlake.sources.lake import Lake, read_table, write_partitioned
@@ -112,8 +113,13 @@ def _bronze_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(spark, sf_dir, "loans").where(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH))
 
 
+def _bounds(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """The first and the last month of the loans."""
+    return _bronze(spark, sf_dir, "loans").agg(F.min(s.SNAPSHOT), F.max(s.SNAPSHOT)).first()
+
+
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_calendar(_bronze(spark, sf_dir, "loans"))
+    return snapshot_calendar(spark, *_bounds(spark, sf_dir))
 
 
 def _credit_age(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,9 +191,8 @@ def _lake(spark: SparkSession, sf_dir: str) -> Lake:
     root = scratch_root(spark)
     for table, rows in orders_feed.source_tables(spark, sf_dir).items():
         csv.write_csv(rows, f"{root}/source/{csv.SOURCE_FILES[table]}")
-    first, last = _bronze(spark, sf_dir, "loans").agg(F.min(s.SNAPSHOT), F.max(s.SNAPSHOT)).first()
     lake = Lake(spark, f"{root}/lake")
-    backfill.run_backfill(lake, csv.read_sources(spark, f"{root}/source"), first, last)
+    backfill.run_backfill(lake, csv.read_sources(spark, f"{root}/source"), *_bounds(spark, sf_dir))
     return lake
 
 
@@ -196,10 +201,64 @@ def _lake_table(table: str) -> Query:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.training_set(_features(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def _lake_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
     return gold.training_set(lake.read("gold", "feature_store"), lake.read("gold", "label_store"))
 
 
+# With so low a threshold, customers with a few loans in a month and loans with a few rows count as hot.
+_EAGER = SkewPolicy(max_keys=10_000, min_rows=1)
+
+
+def _salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans and clickstream joined with the rows of hot keys spread, on either side."""
+    wanted = {"clickstream": _silver(spark, sf_dir, "clickstream")}
+    return gold.join_customer_features(_applications(spark, sf_dir), wanted, _EAGER)
+
+
+def _salted_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.training_set(_features(spark, sf_dir), _labels(spark, sf_dir), _EAGER)
+
+
+def _month_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months written, then written again from sources that have lost one month."""
+    lake = Lake(spark, f"{scratch_root(spark)}/lake")
+    months = month_starts(*_bounds(spark, sf_dir))
+    rows = _bronze(spark, sf_dir, "attributes")
+    lake.write(rows, "bronze", "attributes", months, rebalance=True)
+    lake.write(rows.where(F.col(s.SNAPSHOT) != F.lit(ONE_MONTH)), "bronze", "attributes", months, rebalance=True)
+    return lake.read("bronze", "attributes")
+
+
+def _row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _lake(spark, sf_dir)
+    written = {layer: {table: lake.read(layer, table) for table in s.TABLES[layer]} for layer in s.TABLES}
+    sources = orders_feed.source_tables(spark, sf_dir)
+    return audit.written_row_audit(sources, written, _calendar(spark, sf_dir))
+
+
+def _left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left out where financials miss a month, loans another, and a third has no attributes but is processed."""
+    lake = Lake(spark, f"{scratch_root(spark)}/lake")
+    months = month_starts(*_bounds(spark, sf_dir))
+    sources = orders_feed.source_tables(spark, sf_dir)
+    sources["attributes"] = sources["attributes"].where(F.col(s.SNAPSHOT) != F.lit(months[3]))
+    without = {"financials": months[1], "loans": months[2]}
+    for table, rows in sources.items():
+        backfill.load_bronze(lake, {table: rows}, [month for month in months if month != without.get(table)])
+    backfill.build_silver(lake, months)
+    backfill.build_features(lake, months)
+    backfill.build_labels(lake, months)
+    return backfill.left_out(lake, months)
+
+
+def _lake_stores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {table: _lake(spark, sf_dir).read("gold", table) for table in s.GOLD}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The feature store of all months."""
     return _features(spark, "/root/testdata/sf0.001")
@@ -243,7 +302,7 @@ def pipeline_queries() -> dict[str, Query]:
         "label_distribution": lambda spark, sf_dir: audit.label_distribution(_labels(spark, sf_dir)),
         "dataset_profile": lambda spark, sf_dir: audit.dataset_profile(_stores(spark, sf_dir)),
         "layer_row_audit": lambda spark, sf_dir: audit.layer_row_audit(orders_feed.source_tables(spark, sf_dir)),
-        "schema_report": lambda spark, sf_dir: audit.schema_report(_stores(spark, sf_dir)),
+        "schema_report": lambda spark, sf_dir: audit.schema_report(_lake_stores(spark, sf_dir)),
         "csv_scan_clickstream": _csv_scan("clickstream"),
         "csv_scan_attributes": _csv_scan("attributes"),
         "csv_scan_loans": _csv_scan("loans"),
@@ -253,7 +312,13 @@ def pipeline_queries() -> dict[str, Query]:
         "multi_partition_scan": _multi_scan,
         "partition_overwrite_roundtrip": _overwrite,
         "required_months": _required_months,
+        "join_loans_clickstream_salted": _salted_join,
         "training_set": _training,
+        "training_set_salted": _salted_training,
+        "month_rerun_without_rows": _month_without_rows,
+        "lake_training_set": _lake_training,
+        "lake_row_audit": _row_audit,
+        "lake_left_out_months": _left_out,
         "lake_feature_store": _lake_table("feature_store"),
         "lake_label_store": _lake_table("label_store"),
         "lake_processed_rows": lambda spark, sf_dir: _lake(spark, sf_dir).processed(),

@@ -38,7 +38,9 @@ def _all_present(*names: str) -> Column:
 
 
 def layer_row_audit(bronze: dict[str, DataFrame], mob: int = 6) -> DataFrame:
-    """Rows in and out of every stage by month, 0 where a month has none.
+    """Rows that should go in and out of every stage by month, 0 where a month has none; from bronze alone.
+
+    What has been written is counted by :func:`written_row_audit`.
 
     Counts that come from the same table share one scan. Only the final features need the join, of which the columns
     not counted are pruned.
@@ -80,6 +82,62 @@ def layer_row_audit(bronze: dict[str, DataFrame], mob: int = 6) -> DataFrame:
     )
 
 
+def _counted(df: DataFrame, layer: str, table: str, name: str) -> DataFrame:
+    n = F.count("*").alias(name)
+    return df.groupBy(s.SNAPSHOT).agg(n).select(
+        s.SNAPSHOT, F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), name
+    )
+
+
+def written_row_audit(
+    sources: dict[str, DataFrame], written: dict[str, dict[str, DataFrame]], months: DataFrame, mob: int = 6
+) -> DataFrame:
+    """Rows that each written table has and should have, by month, and rows of the sources outside all months.
+
+    What a table should have follows from the written tables below it: bronze from the sources, silver from the keys
+    in bronze, features from the applications and the customer rows that each of them meets, labels from the age of
+    loans. ``n_missing`` is the difference. Source rows whose date is unreadable or in none of ``months`` are counted
+    as layer ``rejected`` without a month; nothing of them should be written.
+    """
+    clean = {name: _all_present(*s.CUSTOMER_MONTH) for name in sources}
+    clean["loans"] = _all_present(s.CUSTOMER, s.LOAN, s.SNAPSHOT)
+    expected, counted, rejected = [], [], []
+    for name, rows in sources.items():
+        inside = rows.select(s.SNAPSHOT).join(F.broadcast(months), s.SNAPSHOT, "left_semi")
+        outside = rows.select(s.SNAPSHOT).join(F.broadcast(months), s.SNAPSHOT, "left_anti")
+        expected.append(_counted(inside, "bronze", name, "n_expected"))
+        expected.append(_counted(written["bronze"][name].where(clean[name]), "silver", name, "n_expected"))
+        counted.append(_counted(written["bronze"][name], "bronze", name, "n_counted"))
+        counted.append(_counted(written["silver"][name], "silver", name, "n_counted"))
+        rejected.append(
+            outside.agg(F.count("*").alias("n_expected")).select(
+                F.lit(None).cast("date").alias(s.SNAPSHOT), F.lit("rejected").alias("layer"),
+                F.lit(name).alias("table_name"), "n_expected",
+            )
+        )
+    loans = written["silver"]["loans"]
+    features = gold.loans_at_application(loans).select(*s.CUSTOMER_MONTH)
+    per_key = F.lit(1)
+    for name in ["clickstream", "attributes", "financials"]:
+        met = written["silver"][name].groupBy(*s.CUSTOMER_MONTH).agg(F.count("*").alias(f"n_{name}"))
+        features = features.join(met, s.CUSTOMER_MONTH, "left")
+        per_key = per_key * F.coalesce(f"n_{name}", F.lit(1))
+    expected.append(
+        features.groupBy(s.SNAPSHOT).agg(F.sum(per_key).alias("n_expected")).select(
+            s.SNAPSHOT, F.lit("gold").alias("layer"), F.lit("feature_store").alias("table_name"), "n_expected"
+        )
+    )
+    expected.append(_counted(loans.where(F.col("mob") == mob), "gold", "label_store", "n_expected"))
+    counted += [_counted(written["gold"][name], "gold", name, "n_counted") for name in s.GOLD]
+    key = [s.SNAPSHOT, "layer", "table_name"]
+    both = reduce(DataFrame.unionAll, expected).join(reduce(DataFrame.unionAll, counted), key, "full_outer")
+    everything = both.unionByName(reduce(DataFrame.unionAll, rejected), allowMissingColumns=True)
+    n = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_expected", "n_counted")}
+    return everything.select(*key, *[x.alias(c) for c, x in n.items()]).withColumn(
+        "n_missing", F.when(F.col("layer") == "rejected", F.lit(0)).otherwise(F.col("n_expected") - F.col("n_counted"))
+    )
+
+
 def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table."""
     parts = [

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loanlake import schemas as s
 from loanlake.functions import loans as fn
-from loanlake.operators.joins import DEFAULT_POLICY, SkewPolicy, inner_join, left_joins
+from loanlake.operators.joins import SkewPolicy, inner_join, left_joins
 
 
 def loans_at_application(loans: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def customer_features(
 def join_customer_features(
     applications: DataFrame,
     customers: dict[str, DataFrame],
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy | None = None,
 ) -> DataFrame:
     """Left-join customer tables to the loans of the same customer and month, keys first.
 
@@ -69,9 +69,12 @@ def feature_store(
     clickstream: DataFrame,
     attributes: DataFrame,
     financials: DataFrame,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy | None = None,
 ) -> DataFrame:
-    """Features of each loan at application time, for all months at once: the join keys include the month."""
+    """Features of each loan at application time, for all months at once: the join keys include the month.
+
+    With a ``policy``, hot keys are looked up and their rows spread; without, building this runs no job.
+    """
     customers = customer_features(clickstream, attributes, financials)
     joined = join_customer_features(loans_at_application(loans), customers, policy)
     return add_risk_band(add_ratios(fill_features(joined)))
@@ -88,7 +91,7 @@ def label_store(loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:
     )
 
 
-def training_set(features: DataFrame, labels: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def training_set(features: DataFrame, labels: DataFrame, policy: SkewPolicy | None = None) -> DataFrame:
     """Features with the label of the same loan. Their months differ, so only the loan id is joined on."""
     return inner_join(features, labels.select(s.LOAN, "label", "label_def"), [s.LOAN], policy)
 
@@ -99,7 +102,10 @@ def present_months(df: DataFrame) -> DataFrame:
 
 
 def required_months(months: DataFrame, *tables: DataFrame) -> DataFrame:
-    """The given months that occur in every table; a month missing anywhere yields no output."""
+    """The given months that have rows in every table.
+
+    The pipeline asks less: a month counts if it was processed, with rows or not; see ``Lake.processed_months``.
+    """
     for df in tables:
         months = months.join(present_months(df), s.SNAPSHOT, "left_semi")
     return months

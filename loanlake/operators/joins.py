@@ -17,19 +17,20 @@ class SkewPolicy:
     """A key is hot if it has more than ``min_rows`` rows and more than ``1 / max_keys`` of its table.
 
     So a table has fewer than ``max_keys`` hot keys whatever its size, which bounds what is collected and broadcast
-    to about a megabyte, and each slice of a hot key holds at most ``max(min_rows, rows / max_keys)`` rows on average.
-    ``buckets`` is several times ``max_keys``, so that buckets without a hot key stay below that size.
+    to about a megabyte. Each slice of a hot key holds about ``min_rows`` rows, also in the largest table. ``tracked``
+    is several times ``max_keys``: the sketch that finds candidates is off by a few rows in so many.
     """
 
     max_keys: int = 10_000
     min_rows: int = 2_000_000
-    buckets: int = 1 << 17
+    tracked: int = 1 << 16
 
-    def slice_rows(self, total: Column) -> Column:
+    def least_rows(self, total: Column) -> Column:
         return F.greatest(F.lit(self.min_rows), F.ceil(total / F.lit(self.max_keys)))
 
 
 DEFAULT_POLICY = SkewPolicy()
+_MERGED_TOGETHER = 64
 
 
 def hot_keys(
@@ -37,28 +38,30 @@ def hot_keys(
 ) -> dict[str, DataFrame]:
     """The hot keys of each table that has any, as small tables of the keys and their ``slices``.
 
-    One job counts rows by hash bucket. It reads the key columns only, and its shuffle holds at most ``buckets`` rows
-    per table and map task however many keys there are. The keys themselves are counted in full only within buckets
-    that are large enough to hold a hot key, so ordinary data needs no second job.
+    One pass over the key columns of each table fills a sketch of frequent items per task; sketches are merged in two
+    steps. Only what the sketch names is counted in full, so ordinary data needs no second pass. This runs jobs;
+    operators that are given no hot keys run none.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(policy.buckets))
-    parts = [df.select(F.lit(name).alias("side"), bucket.alias("bucket")) for name, df in tables.items()]
-    counts = reduce(DataFrame.unionAll, parts).groupBy("side", "bucket").agg(F.count("*").alias("n"))
-    sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy("side")))
-    large = sized.where(F.col("n") > policy.slice_rows(F.col("total"))).collect()
-
     found = {}
     for name, df in tables.items():
-        buckets = [row["bucket"] for row in large if row["side"] == name]
-        if not buckets:
+        hashed = df.select(F.xxhash64(*keys).alias("h"), F.pmod(F.spark_partition_id(), F.lit(_MERGED_TOGETHER)).alias("p"))
+        sketch = F.expr(f"approx_top_k_accumulate(h, {policy.tracked})").alias("sketch")
+        parts = hashed.groupBy("p").agg(sketch, F.count("*").alias("n"))
+        top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {policy.tracked}), {policy.max_keys})")
+        # By a constant, as sketches cannot be merged in tasks without any.
+        row = parts.groupBy(F.lit("all")).agg(top.alias("top"), F.sum("n").alias("total")).first()
+        if row is None:
+            continue
+        least = max(policy.min_rows, -(-row["total"] // policy.max_keys))
+        candidates = [item["item"] for item in row["top"] or [] if item["count"] > least // 2]
+        if not candidates:
             continue
-        rows_per_slice = policy.slice_rows(F.lit(next(row["total"] for row in large if row["side"] == name)))
         hot = (
-            df.where(bucket.isin(buckets))
+            df.where(F.xxhash64(*keys).isin(candidates))
             .groupBy(*keys)
             .agg(F.count("*").alias("n"))
-            .where(F.col("n") > rows_per_slice)
-            .select(*keys, F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices"))
+            .where(F.col("n") > policy.least_rows(F.lit(row["total"])))
+            .select(*keys, F.ceil(F.col("n") / policy.min_rows).cast("int").alias("slices"))
         )
         rows = hot.collect()  # fewer than max_keys rows
         if rows:
@@ -74,10 +77,11 @@ def _slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
 def _spread(df: DataFrame, keys: list[str], hot: DataFrame, slot: str) -> DataFrame:
     """Give each row of a hot key one slot.
 
-    The slot follows from the task that reads the row, not from the row: exact copies are spread as well, and a task
-    that is run again after a lost executor gives the same slots.
+    The slot follows from the row's values and the task that reads it: rows of one task are spread, and so are exact
+    copies in several tasks. A task that is run again after a lost executor gives the same slots.
     """
-    own = F.when(F.col("_n").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_n"))).otherwise(F.lit(0))
+    spot = F.xxhash64(*df.columns, F.spark_partition_id())
+    own = F.when(F.col("_n").isNotNull(), F.pmod(spot, F.col("_n")).cast("int")).otherwise(F.lit(0))
     return _slices(df, keys, hot).withColumn(slot, own).drop("_n")
 
 
@@ -91,16 +95,17 @@ def left_joins(
     left: DataFrame,
     rights: dict[str, DataFrame],
     keys: list[str],
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy | None = None,
     hot: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Left-join each table of ``rights`` to ``left`` on the same keys, one after the other.
 
     All joins share the keys, so the left side is shuffled once. ``hot`` maps table names (``"left"`` for the left
-    side) to their hot keys; it is looked up if not given. Keys must not be NULL.
+    side) to their hot keys. Without it, they are looked up if a ``policy`` is given; with neither, no job runs and
+    the joins are plain ones. Keys must not be NULL.
     """
     if hot is None:
-        hot = hot_keys({"left": left, **rights}, keys, policy)
+        hot = hot_keys({"left": left, **rights}, keys, policy) if policy else {}
     on = list(keys)
     if "left" in hot:
         left = _spread(left, keys, hot["left"], "_left_slot")
@@ -129,12 +134,12 @@ def inner_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy | None = None,
     hot: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Inner join with the rows of hot keys spread over slices on the side that has them."""
+    """Inner join with the rows of hot keys spread over slices on the side that has them; see :func:`left_joins`."""
     if hot is None:
-        hot = hot_keys({"left": left, "right": right}, keys, policy)
+        hot = hot_keys({"left": left, "right": right}, keys, policy) if policy else {}
     on = list(keys)
     if "left" in hot:
         left = _spread(left, keys, hot["left"], "_left_slot")

@@ -5,9 +5,12 @@ costs no more than the step at hand. A range of one month re-runs that month and
 """
 
 import argparse
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlake.functions.calendar import month_starts
 from loanlake.operators import audit, gold
@@ -28,6 +31,13 @@ CUSTOMER_TABLES = ["clickstream", "attributes", "financials"]
 SILVER_ORDER = {"loans": ["installment_num"]}
 
 
+def _together(writes: list[Callable[[], None]]) -> None:
+    """Run independent writes at the same time, so that the last tasks of one leave no executor idle."""
+    with ThreadPoolExecutor(max(1, len(writes))) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
+
+
 def load_bronze(
     lake: Lake, sources: dict[str, DataFrame], months: list[date], in_month_order: bool = False
 ) -> None:
@@ -35,17 +45,24 @@ def load_bronze(
 
     Sources whose files are ``in_month_order`` need no shuffle: each task reads few months.
     """
-    for table, rows in sources.items():
-        lake.write(rows, "bronze", table, months, rebalance=not in_month_order)
+    _together(
+        [
+            lambda table=table, rows=rows: lake.write(rows, "bronze", table, months, rebalance=not in_month_order)
+            for table, rows in sources.items()
+        ]
+    )
     lake.record("bronze", {table: months for table in sources})
 
 
 def build_silver(lake: Lake, months: list[date]) -> None:
     """Clean rows. Bronze files hold one month each, so a task writes few months and nothing is shuffled."""
     ready = lake.processed_months("bronze", list(CLEANERS), months)
-    for table, clean in CLEANERS.items():
-        rows = clean(lake.read("bronze", table, ready[table]))
+
+    def write(table: str) -> None:
+        rows = CLEANERS[table](lake.read("bronze", table, ready[table]))
         lake.write(rows, "silver", table, ready[table], sort_by=SILVER_ORDER.get(table))
+
+    _together([lambda table=table: write(table) for table in CLEANERS])
     lake.record("silver", ready)
 
 
@@ -77,22 +94,54 @@ def run_backfill(
     mob: int = LABEL_MOB,
     policy: SkewPolicy = DEFAULT_POLICY,
     in_month_order: bool = False,
-) -> None:
-    """All layers for the months from ``start`` to ``end``."""
+) -> DataFrame:
+    """All layers for the months from ``start`` to ``end``; returns what was left out, see :func:`left_out`."""
     months = month_starts(start, end)
     load_bronze(lake, sources, months, in_month_order)
     build_silver(lake, months)
     build_features(lake, months, policy)
     build_labels(lake, months, dpd, mob)
+    return left_out(lake, months)
+
+
+LEFT_OUT = "layer string, table_name string, snapshot_date date, missing string"
+
+
+def left_out(lake: Lake, months: list[date]) -> DataFrame:
+    """Months that a silver or gold table was not built for, and which of its inputs was never processed.
+
+    A month that was processed and has no rows is not left out. Loans that were never processed leave no labels, but
+    features: a feature store needs its customer tables only.
+    """
+    needs = {("silver", table): [("bronze", table)] for table in CLEANERS}
+    needs["gold", "feature_store"] = [("silver", table) for table in CUSTOMER_TABLES]
+    needs["gold", "label_store"] = [("silver", "loans")]
+    done = {
+        layer: lake.processed_months(layer, list(CLEANERS), months) for layer in ["bronze", "silver"]
+    }
+    rows = [
+        (layer, table, month, f"{below}.{source}")
+        for (layer, table), sources in needs.items()
+        for below, source in sources
+        for month in months
+        if month not in done[below][source]
+    ]
+    return lake.spark.createDataFrame(rows, LEFT_OUT)
 
 
 def report(lake: Lake) -> dict[str, DataFrame]:
-    """Rows and columns of the gold tables, their schemas, the label distribution and the rows of every step."""
+    """Rows, columns and months of the gold tables, their schemas, the label distribution and the rows of every step.
+
+    A lake that was never written to is an error.
+    """
+    if not lake.exists():
+        raise ValueError(f"no lake at {lake.root}")
     stores = {name: lake.read("gold", name) for name in ["feature_store", "label_store"]}
     return {
         "profile": audit.dataset_profile(stores),
         "schema": audit.schema_report(stores),
         "labels": audit.label_distribution(stores["label_store"]),
+        "months": lake.processed().where("layer = 'gold'").groupBy("table_name").agg(F.count("*").alias("n_months")),
         "processed": lake.processed(),
     }
 
@@ -110,7 +159,7 @@ def main(args: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("loanlake").getOrCreate()
     lake = Lake(spark, options.lake)
-    run_backfill(
+    missing = run_backfill(
         lake,
         read_sources(spark, options.source),
         options.start,
@@ -119,6 +168,6 @@ def main(args: list[str] | None = None) -> None:
         options.mob,
         in_month_order=options.in_month_order,
     )
-    for name, df in report(lake).items():
+    for name, df in {**report(lake), "left out": missing}.items():
         print(name)
-        df.show(200, truncate=False)
+        df.show(df.count(), truncate=False)  # columns, months and tables: bounded by the calendar

@@ -83,7 +83,7 @@ _LOAN_SOURCE = {
 }
 
 BRONZE = {
-    "clickstream": _struct({**_KEYS, **dict.fromkeys(CLICK_FEATURES, _INT)}),
+    "clickstream": _struct({**_KEYS, **dict.fromkeys(CLICK_FEATURES, _DOUBLE)}),
     "attributes": _struct({**_KEYS, **dict.fromkeys(["Name", "Age", "SSN", "Occupation"], _TEXT)}),
     "financials": _struct({**_KEYS, **dict.fromkeys(_FINANCIAL_SOURCE, _TEXT)}),
     "loans": _struct(_LOAN_SOURCE),
@@ -118,7 +118,7 @@ GOLD = {
         {
             **_KEYS,
             **{name: _LOAN_SOURCE[name] for name in LOAN_FEATURES},
-            **dict.fromkeys(CLICK_FEATURES, _INT),
+            **dict.fromkeys(CLICK_FEATURES, _DOUBLE),
             "Age": _INT,
             "Occupation": _TEXT,
             **{name: _SILVER_FINANCIALS[name] for name in FINANCIAL_FEATURES},

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, NumericType, StringType, StructField, StructType
 
 from loanlake import schemas as s
 
@@ -20,11 +20,15 @@ def read_text(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("header", True).csv(list(paths))
 
 
-def read_source(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_source(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """A CSV source with the declared columns, found by name and in any order; unreadable values become NULL.
 
-    One line is read to learn the header, there is no pass over the data. Numbers are parsed by the reader, whole
-    ones by way of double so that ``5.0`` is accepted for 5.
+    One line is read to learn the header, there is no pass over the data. All parts must have that header: reading a
+    part with the columns in another order fails, so no value gets into another column. Quotes in quoted text are
+    doubled. ``multi_line`` allows line breaks in quoted text, at the price of one task per file.
+
+    Numbers are parsed by the reader, whole ones by way of double so that ``5.0`` is accepted for 5. A number that is
+    not whole or too large for such a column fails the read; it is never cut.
     """
     header = read_text(spark, path).columns
     missing = [field.name for field in schema if field.name not in header]
@@ -34,13 +38,19 @@ def read_source(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     parsed = StructType(
         [StructField(name, DoubleType() if name in numbers else StringType()) for name in header]
     )
-    raw = spark.read.schema(parsed).option("header", True).csv(path)
+    options = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": multi_line}
+    raw = spark.read.schema(parsed).options(**options).csv(path)
     return raw.select(*[_typed(F.col(field.name), field).alias(field.name) for field in schema])
 
 
 def _typed(c: Column, field: StructField) -> Column:
-    same = isinstance(field.dataType, (StringType, DoubleType))
-    return c if same else c.try_cast(field.dataType)
+    if isinstance(field.dataType, (StringType, DoubleType)):
+        return c
+    if isinstance(field.dataType, IntegerType):
+        refused = F.raise_error(F.concat(F.lit(f"no 32-bit whole number in {field.name}: "), c.cast("string")))
+        whole = (c % 1 == 0) & c.between(-(2**31), 2**31 - 1)
+        return F.when(c.isNull(), F.lit(None)).when(whole, c.try_cast("int")).otherwise(refused.cast("int"))
+    return c.try_cast(field.dataType)
 
 
 def read_sources(
@@ -53,15 +63,23 @@ def read_sources(
     }
 
 
+def _one_line(name: str) -> Column:
+    c = F.col(name)
+    refused = F.raise_error(F.lit(f"text with a line break in {name} cannot be written as CSV"))
+    return F.when(c.contains("\n") | c.contains("\r"), refused.cast("string")).otherwise(c)
+
+
 def write_csv(df: DataFrame, path: str, by_month: bool = False) -> None:
     """CSV parts with a header that :func:`read_source` reads back unchanged, blanks around values included.
 
     ``by_month`` makes a folder of each month, of which other months stay when one is written again. Empty text is
-    written like NULL, as a CSV source cannot tell them apart. Text with line breaks cannot be read back, since the
+    written like NULL, as a CSV source cannot tell them apart. Text with line breaks fails the write, since the
     reader splits files at line ends.
     """
+    texts = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    df = df.withColumns({name: _one_line(name) for name in texts})
     writer = df.write.mode("overwrite").options(
-        header=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
     if by_month:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(s.SNAPSHOT)

@@ -1,5 +1,6 @@
 """Tables of the three layers as parquet, partitioned by snapshot month."""
 
+import warnings
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
@@ -73,13 +74,15 @@ class Lake:
         for month in [month for month, file in before.items() if after[month] == file]:
             nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={month}")
 
-    def _newest_files(self, layer: str, table: str, months: list[date]) -> dict[date, str]:
-        """One file name of each month that has rows. Each write gives its files new names."""
+    def _newest_files(self, layer: str, table: str, months: list[date]) -> dict[date, int]:
+        """A hash of one file name of each month that has rows. Each write gives its files new names.
+
+        No column is read, and the largest hash, a number, is found without sorting.
+        """
         written = find_table(self.spark, self.path(layer, table), self.schemas[layer][table])
         if written is None:
             return {}
-        files = written.where(of_months(months)).select(SNAPSHOT, F.input_file_name().alias("file"))
-        largest = files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
+        largest = newest_files(written.where(of_months(months)))
         return {row[SNAPSHOT]: row["file"] for row in largest.collect()}  # months, bounded by the calendar
 
     def record(self, layer: str, months: dict[str, list[date]]) -> None:
@@ -105,7 +108,11 @@ class Lake:
                 F.current_timestamp().alias("noted_at"),
             )
         )
-        noted.coalesce(1).write.mode("append").parquet(self._log)
+        noted.repartition(1).write.mode("append").parquet(self._log)
+
+    def exists(self) -> bool:
+        """Has anything been processed here?"""
+        return find_table(self.spark, self._log, PROCESSED) is not None
 
     @property
     def _log(self) -> str:
@@ -123,10 +130,16 @@ class Lake:
         return {table: sorted(row[SNAPSHOT] for row in done if row["table_name"] == table) for table in tables}
 
 
+def newest_files(written: DataFrame) -> DataFrame:
+    """``snapshot_date, file`` of a table that is read from files: the largest hash of a file name of each month."""
+    files = written.select(SNAPSHOT, F.xxhash64("_metadata.file_path").alias("file"))
+    return files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
+
+
 def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A parquet table with a declared schema; None if nothing was written there yet."""
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -136,7 +149,7 @@ def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A parquet table with a declared schema; an empty one if nothing was written there yet."""
     found = find_table(spark, path, schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    return spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
 
 
 def write_partitioned(
@@ -145,10 +158,13 @@ def write_partitioned(
     """Write by snapshot month and replace only the months that ``df`` has rows of.
 
     Without adaptive execution, which splits a month over tasks, there is no ``rebalance``: a month must not go
-    through one task.
+    through one task. A warning says so, as each task then writes a small file into every month.
     """
-    if rebalance and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        df = df.hint("rebalance", SNAPSHOT)
+    if rebalance:
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            df = df.hint("rebalance", SNAPSHOT)
+        else:
+            warnings.warn(f"adaptive execution is off: {path} gets a file per task and month", stacklevel=2)
     if sort_by:
         df = df.sortWithinPartitions(SNAPSHOT, *sort_by)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT).parquet(path)

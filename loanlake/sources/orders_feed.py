@@ -1,8 +1,10 @@
 """The four source tables derived from an ``orders`` table, for tests and measurements.
 
 Customers are the customers of orders in each month they order in, loans are orders with one ledger row for each of
-eleven months. The values include every defect the cleaning steps handle: unclean and missing ids, numbers with
-underscores or decimal tails, missing values, unmatched keys, zero due amounts and negative amounts.
+eleven months. Loans start on the day of the order, so months on book and installments differ. The values include
+every defect the cleaning steps handle: unclean, blank and missing ids, repeated customer rows, numbers with
+underscores, decimal tails or nothing before the point, missing values, unmatched keys, zero due amounts, overdue
+amounts just above a whole number of installments, and negative amounts.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,17 +34,23 @@ def _text(c: Column, tail: str = "", head: str = "") -> Column:
 
 def _customer_id(c: Column) -> Column:
     return (
-        F.when(_every(c, 7), _text(c, " ", " cus_"))
+        F.when(_every(c, 499, 8), F.lit("   "))
+        .when(_every(c, 7), _text(c, " ", " cus_"))
         .when(_every(c, 101), F.lit(None))
         .otherwise(_text(c, head="CUS_"))
     )
 
 
 def _customer_months(orders: DataFrame, skip: int) -> DataFrame:
-    """Each customer and month with an order, but for one in ``skip`` so that some loans find no match."""
+    """Each customer and month with an order, but for one in ``skip`` so that some loans find no match.
+
+    One customer in 53 has every row twice.
+    """
     month = F.trunc(F.col("o_orderdate").cast("date"), "MM")
     keys = orders.select(F.col("o_custkey").alias("c"), month.alias(s.SNAPSHOT)).distinct()
-    return keys.withColumn("m", F.month(s.SNAPSHOT)).where((F.col("c") + F.col("m")) % skip != 0)
+    keys = keys.withColumn("m", F.month(s.SNAPSHOT)).where((F.col("c") + F.col("m")) % skip != 0)
+    times = F.when(_every(F.col("c"), 53), F.lit(2)).otherwise(F.lit(1))
+    return keys.withColumn("copy", F.explode(F.array_repeat(F.lit(True), times))).drop("copy")
 
 
 def _finish(df: DataFrame, columns: dict[str, Column], table: str) -> DataFrame:
@@ -50,10 +58,15 @@ def _finish(df: DataFrame, columns: dict[str, Column], table: str) -> DataFrame:
     return df.select(*[columns[name].alias(name) for name in s.BRONZE[table].names])
 
 
+def _share(c: Column, n: int) -> Column:
+    """Some features have decimals, and some are larger than a 32-bit number."""
+    return F.when(_every(c + n, 31), F.lit(0.75)).when(_every(c + n, 29), F.lit(3e9)).otherwise(F.lit(0.0))
+
+
 def clickstream(orders: DataFrame) -> DataFrame:
     c, m = F.col("c"), F.col("m")
     features = {
-        f"fe_{n}": F.when(~_every(c + n, 23), ((c * 31 + m * 7 + 17 * n) % 400 - 100).cast("int"))
+        f"fe_{n}": F.when(~_every(c + n, 23), ((c * 31 + m * 7 + 17 * n) % 400 - 100 + _share(c, n)).cast("double"))
         for n in range(1, 21)
     }
     return _finish(_customer_months(orders, 10), features, "clickstream")
@@ -88,7 +101,7 @@ def financials(orders: DataFrame) -> DataFrame:
         _customer_months(orders, 14),
         {
             "Annual_Income": dirty(7000 + c % 200 * 1000, 17, 5),
-            "Monthly_Inhand_Salary": _pick(c, 6, {0: None}, _text(500 + c % 90 * 10, ".25")),
+            "Monthly_Inhand_Salary": _pick(c, 6, {0: None, 1: ".5"}, _text(500 + c % 90 * 10, ".25")),
             "Num_Bank_Accounts": _text(c % 11 - 1),
             "Num_Credit_Card": _text(c % 12, ".0"),
             "Interest_Rate": _pick(c, 19, {0: None}, _text(1 + c % 34)),
@@ -133,9 +146,9 @@ def loans(orders: DataFrame) -> DataFrame:
             "o_orderkey",
             "o_totalprice",
             F.col("o_custkey").alias("c"),
-            F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("start"),
+            F.col("o_orderdate").cast("date").alias("start"),
             F.explode(F.sequence(F.lit(0), F.lit(INSTALLMENTS))).alias("k"),
-        ).withColumn(s.SNAPSHOT, F.add_months("start", k)),
+        ).withColumn(s.SNAPSHOT, F.add_months(F.trunc("start", "MM"), k)),
         {
             s.LOAN: _text(key, " ", " L"),
             "loan_start_date": F.col("start"),
@@ -144,7 +157,10 @@ def loans(orders: DataFrame) -> DataFrame:
             "loan_amt": F.when(_every(key, 37), -amount).when(~_every(key, 41), amount),
             "due_amt": F.when((k == 0) | _every(key, 43), zero).otherwise(due),
             "paid_amt": F.when((k == 0) | (missed > 0), zero).otherwise(due),
-            "overdue_amt": F.when(k == 0, zero).when(_every(key, 47), -due).otherwise(due * missed),
+            "overdue_amt": F.when(k == 0, zero)
+            .when(_every(key, 47), -due)
+            .when(_every(key, 59) & (missed > 0), due * missed + 0.01)
+            .otherwise(due * missed),
             "balance": due * (INSTALLMENTS - k),
         },
         "loans",

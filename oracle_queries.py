@@ -17,17 +17,19 @@ _FINANCIAL_FEATURES = [
 ]
 _TEXT_FEATURES = ["Occupation", "Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]
 
-_ID = """CASE WHEN c % 7 = 0 THEN ' cus_' || CAST(c AS VARCHAR) || ' ' WHEN c % 101 = 0 THEN NULL
+_ID = """CASE WHEN c % 499 = 8 THEN '   ' WHEN c % 7 = 0 THEN ' cus_' || CAST(c AS VARCHAR) || ' ' WHEN c % 101 = 0 THEN NULL
     ELSE 'CUS_' || CAST(c AS VARCHAR) END AS Customer_ID"""
 
 
 def _months_from_orders(skip: int) -> str:
     return f"""(SELECT DISTINCT o_custkey AS c, CAST(date_trunc('month', o_orderdate) AS DATE) AS snap,
-    month(o_orderdate) AS mm FROM orders) x WHERE (c + mm) % {skip} <> 0"""
+    month(o_orderdate) AS mm FROM orders) x JOIN (VALUES (1), (2)) twice(copy) ON copy = 1 OR c % 53 = 0
+    WHERE (c + mm) % {skip} <> 0"""
 
 
 def _fe(n: int) -> str:
-    value = f"CAST((c * 31 + mm * 7 + {17 * n}) % 400 - 100 AS INTEGER)"
+    share = f"CASE WHEN (c + {n}) % 31 = 0 THEN 0.75 WHEN (c + {n}) % 29 = 0 THEN 3e9 ELSE 0 END"
+    value = f"CAST((c * 31 + mm * 7 + {17 * n}) % 400 - 100 AS DOUBLE) + {share}"
     return f"CASE WHEN (c + {n}) % 23 = 0 THEN NULL ELSE {value} END AS fe_{n}"
 
 
@@ -79,7 +81,8 @@ _RAW = {
     FROM {_months_from_orders(12)}""",
     "raw_financials": f"""SELECT {_ID}, snap AS snapshot_date,
     {_dirty('7000 + c % 200 * 1000', 17, 5)} AS Annual_Income,
-    CASE WHEN c % 6 = 0 THEN NULL ELSE CAST(500 + c % 90 * 10 AS VARCHAR) || '.25' END AS Monthly_Inhand_Salary,
+    CASE c % 6 WHEN 0 THEN NULL WHEN 1 THEN '.5' ELSE CAST(500 + c % 90 * 10 AS VARCHAR) || '.25' END
+        AS Monthly_Inhand_Salary,
     CAST(c % 11 - 1 AS VARCHAR) AS Num_Bank_Accounts,
     CAST(c % 12 AS VARCHAR) || '.0' AS Num_Credit_Card,
     CASE WHEN c % 19 = 0 THEN NULL ELSE CAST(1 + c % 34 AS VARCHAR) END AS Interest_Rate,
@@ -104,14 +107,15 @@ _RAW = {
         AS Monthly_Balance
     FROM {_months_from_orders(14)}""",
     "raw_loans": f"""SELECT ' L' || CAST(o_orderkey AS VARCHAR) || ' ' AS loan_id, {_ID},
-    CAST(start_ts AS DATE) AS loan_start_date, CAST(start_ts + to_months(k) AS DATE) AS snapshot_date,
+    CAST(o_orderdate AS DATE) AS loan_start_date, CAST(start_ts + to_months(k) AS DATE) AS snapshot_date,
     10 AS tenure, k AS installment_num,
     CASE WHEN o_orderkey % 37 = 0 THEN -amt WHEN o_orderkey % 41 = 0 THEN NULL ELSE amt END AS loan_amt,
     CASE WHEN k = 0 OR o_orderkey % 43 = 0 THEN CAST(0 AS DOUBLE) ELSE due END AS due_amt,
     CASE WHEN k = 0 OR m > 0 THEN CAST(0 AS DOUBLE) ELSE due END AS paid_amt,
-    CASE WHEN k = 0 THEN CAST(0 AS DOUBLE) WHEN o_orderkey % 47 = 0 THEN -due ELSE due * m END AS overdue_amt,
+    CASE WHEN k = 0 THEN CAST(0 AS DOUBLE) WHEN o_orderkey % 47 = 0 THEN -due
+        WHEN o_orderkey % 59 = 0 AND m > 0 THEN due * m + 0.01 ELSE due * m END AS overdue_amt,
     due * (10 - k) AS balance
-    FROM (SELECT o_orderkey, o_custkey AS c, k, date_trunc('month', o_orderdate) AS start_ts,
+    FROM (SELECT o_orderkey, o_custkey AS c, o_orderdate, k, date_trunc('month', o_orderdate) AS start_ts,
         CAST(CAST(floor(o_totalprice / 1000) AS INTEGER) * 1000 + 1000 AS DOUBLE) AS amt,
         CAST(CAST(floor(o_totalprice / 1000) AS INTEGER) * 100 + 100 AS DOUBLE) AS due,
         CASE WHEN (o_orderkey * 7 + k * 3) % 11 = 0 THEN least(k, CAST(1 + o_orderkey % 3 AS INTEGER)) ELSE 0 END AS m
@@ -273,7 +277,7 @@ def _kind(name: str) -> str:
 _FEATURE_SCHEMA = (
     [("Customer_ID", "string"), ("snapshot_date", "date"), ("loan_id", "string"), ("loan_amt", "double")]
     + [("tenure", "int"), ("loan_start_date", "date")]
-    + [(name, "int") for name in _FEATURES]
+    + [(name, "double") for name in _FEATURES]
     + [("Age", "int"), ("Occupation", "string")]
     + [(name, _kind(name)) for name in _FINANCIAL_FEATURES]
     + [("income_to_loan_ratio", "double"), ("debt_to_income_ratio", "double"), ("credit_utilization_risk", "string")]
@@ -297,6 +301,25 @@ def _join(table: str, columns: str) -> str:
 LEFT JOIN (SELECT Customer_ID, snapshot_date, {columns} FROM silver_{table}) r USING (Customer_ID, snapshot_date)"""
 
 
+def _written_audit() -> str:
+    """All rows arrive, so what is counted is what is expected; no row of the sources lies outside the months."""
+    rows = _processed().replace("n AS n_rows", "n")
+    whole = f"""SELECT snapshot_date, layer, table_name, n AS n_expected, n AS n_counted, CAST(0 AS BIGINT) AS n_missing
+FROM ({rows}) w WHERE n > 0"""
+    tables = ", ".join(f"('{table}')" for table in ["clickstream", "attributes", "financials", "loans"])
+    return f"""{whole} UNION ALL SELECT CAST(NULL AS DATE), 'rejected', t.table_name, CAST(0 AS BIGINT),
+    CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM (VALUES {tables}) t(table_name)"""
+
+
+def _left_out() -> str:
+    """Financials of the second month and loans of the third month are never processed."""
+    months = "(SELECT DISTINCT snapshot_date, dense_rank() OVER (ORDER BY snapshot_date) AS nth FROM raw_loans)"
+    return f"""SELECT r.layer, r.table_name, m.snapshot_date, r.missing FROM {months} m JOIN (VALUES
+    (2, 'silver', 'financials', 'bronze.financials'), (2, 'gold', 'feature_store', 'silver.financials'),
+    (3, 'silver', 'loans', 'bronze.loans'), (3, 'gold', 'label_store', 'silver.loans')
+    ) r(nth, layer, table_name, missing) ON r.nth = m.nth"""
+
+
 _SLICE = "DATE '1996-03-01'"
 _SELECTS = {
     "snapshot_calendar": """SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date),
@@ -347,6 +370,14 @@ FROM raw_attributes WHERE snapshot_date = {_SLICE}""",
     "required_months": _required(),
     "training_set": """SELECT f.*, l.label, l.label_def FROM gold_features f
 JOIN (SELECT loan_id, label, label_def FROM gold_labels) l USING (loan_id)""",
+    "lake_training_set": """SELECT f.*, l.label, l.label_def FROM gold_features f
+JOIN (SELECT loan_id, label, label_def FROM gold_labels) l USING (loan_id)""",
+    "join_loans_clickstream_salted": _join("clickstream", ", ".join(_FEATURES)),
+    "training_set_salted": """SELECT f.*, l.label, l.label_def FROM gold_features f
+JOIN (SELECT loan_id, label, label_def FROM gold_labels) l USING (loan_id)""",
+    "month_rerun_without_rows": f"SELECT * FROM raw_attributes WHERE snapshot_date <> {_SLICE}",
+    "lake_row_audit": _written_audit(),
+    "lake_left_out_months": _left_out(),
     "lake_feature_store": "SELECT * FROM gold_features",
     "lake_label_store": "SELECT * FROM gold_labels",
     "lake_processed_rows": _processed(),

@@ -46,7 +46,7 @@ def test_unreadable_counts_become_zero_in_gold_only(spark, any_ansi):
 
 
 def test_duplicates_of_a_customer_row_multiply(spark):
-    tables = bronze(spark, [loan()], attributes=[{"Age": "30"}, {"Age": "31"}], clickstream=[{"fe_1": 1}] * 3)
+    tables = bronze(spark, [loan()], attributes=[{"Age": "30"}, {"Age": "31"}], clickstream=[{"fe_1": 1.0}] * 3)
     assert sorted(row["Age"] for row in features(tables).collect()) == [30] * 3 + [31] * 3
 
 
@@ -69,7 +69,7 @@ def test_ssn_is_masked(spark):
 
 
 def test_other_columns_pass_through(spark):
-    tables = bronze(spark, [loan()], clickstream=[{"fe_1": 1}])
+    tables = bronze(spark, [loan()], clickstream=[{"fe_1": 1.0}])
     tables["clickstream"] = tables["clickstream"].withColumn("fe_21", F.lit(9))
     assert features(tables).first()["fe_21"] == 9
 

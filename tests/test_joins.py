@@ -7,7 +7,7 @@ from conftest import rows
 from loanlake.operators.joins import SkewPolicy, hot_keys, inner_join, left_joins
 
 KEYS = ["k", "d"]
-EAGER = SkewPolicy(max_keys=10, min_rows=20, buckets=64)
+EAGER = SkewPolicy(max_keys=10, min_rows=20, tracked=64)
 
 
 def table(spark, hot, cold, value, copies=False):
@@ -82,6 +82,14 @@ def test_hot_rows_are_spread(spark, as_if_large, sides, copies):
     assert max(row["count"] for row in tasks) < 6000
 
 
+def test_hot_rows_of_one_task_are_spread(spark, as_if_large):
+    """Also if the input is partitioned on the key, so that one task reads all rows of the hot key."""
+    left = table(spark, 4000, 40, "a").repartition(8, "k")
+    joined = left_joins(left, {"right": table(spark, 0, 30, "b")}, KEYS, EAGER)
+    tasks = joined.where("k = 7").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 2
+
+
 def test_ordinary_keys_use_the_plain_plan(spark):
     left, right = table(spark, 0, 40, "a"), table(spark, 0, 30, "b")
     assert left_joins(left, {"right": right}, KEYS).sameSemantics(left.join(right, KEYS, "left"))

@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from conftest import rows
 from loanlake import schemas as s
@@ -54,8 +54,9 @@ def test_schemas_and_months(whole):
 def test_invariants(whole):
     loans = whole.read("silver", "loans")
     features, labels = whole.read("gold", "feature_store"), whole.read("gold", "label_store")
-    # The customer tables have one row per customer and month here, so nothing multiplies.
-    assert features.count() == loans.where("installment_num = 0").count()
+    # Repeated customer rows multiply a loan, missing ones lose none.
+    applications = loans.where("installment_num = 0")
+    assert features.select(s.LOAN).distinct().count() == applications.count() < features.count()
     assert labels.count() == loans.where("mob = 6").count()
     assert {row[0] for row in labels.select("label").distinct().collect()} <= {0, 1}
     assert loans.where("dpd < 0 or installments_missed < 0 or overdue_amt < 0 or balance < 0").count() == 0
@@ -154,7 +155,7 @@ def test_features_beyond_the_declared_ones(spark, sources, whole, tmp_path):
     """A source with more features needs only wider schemas."""
     wider = {layer: dict(tables) for layer, tables in s.TABLES.items()}
     for layer, table in [("bronze", "clickstream"), ("silver", "clickstream"), ("gold", "feature_store")]:
-        wider[layer][table] = StructType([*s.TABLES[layer][table].fields, StructField("fe_21", IntegerType())])
+        wider[layer][table] = StructType([*s.TABLES[layer][table].fields, StructField("fe_21", DoubleType())])
     source = str(tmp_path / "source")
     csv.write_csv(sources["clickstream"].withColumn("fe_21", F.col("fe_20") * 2), source)
     more = {**sources, "clickstream": csv.read_source(spark, source, wider["bronze"]["clickstream"])}
@@ -176,6 +177,56 @@ def test_report(whole):
     assert report["processed"].count() == 10 * len(MONTHS)
 
 
+def test_left_out_months_are_named(spark, sources, whole, tmp_path):
+    assert backfill.left_out(whole, MONTHS).count() == 0
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, {k: v for k, v in sources.items() if k != "financials"}, MONTHS)
+    backfill.load_bronze(lake, {"financials": sources["financials"]}, [MONTHS[0], MONTHS[2]])
+    backfill.build_silver(lake, MONTHS)
+    found = rows(backfill.left_out(lake, MONTHS), "layer", "table_name", s.SNAPSHOT, "missing")
+    assert found == [
+        ("gold", "feature_store", MONTHS[1], "silver.financials"),
+        ("silver", "financials", MONTHS[1], "bronze.financials"),
+    ]
+
+
+def test_report_of_no_lake(spark, tmp_path):
+    with pytest.raises(ValueError, match="no lake"):
+        backfill.report(new_lake(spark, tmp_path))
+
+
+def test_written_audit_sees_lost_rows(spark, sources, whole):
+    written = {layer: {table: whole.read(layer, table) for table in s.TABLES[layer]} for layer in s.TABLES}
+    months = spark.createDataFrame([(month,) for month in MONTHS], "snapshot_date date")
+
+    def missing():
+        found = audit.written_row_audit(sources, written, months).where("n_missing <> 0").collect()
+        return {(r["layer"], r["table_name"]): r["n_missing"] for r in found}
+
+    assert missing() == {}
+    rejected = audit.written_row_audit(sources, written, months).where("layer = 'rejected'").collect()
+    outside = sources["loans"].where(~F.coalesce(F.col(s.SNAPSHOT).isin(MONTHS), F.lit(False))).count()
+    assert {r["table_name"]: r["n_expected"] for r in rejected}["loans"] == outside > 0
+    lost = written["silver"]["attributes"].where(F.col(s.SNAPSHOT) == MONTHS[0]).count()
+    written["silver"]["attributes"] = written["silver"]["attributes"].where(F.col(s.SNAPSHOT) != MONTHS[0])
+    assert missing()["silver", "attributes"] == lost
+
+
+def test_ssn_stays_in_bronze(spark, tmp_path):
+    """Also if quoted text holds quotes and commas, and if the column order of the source is another one."""
+    source = tmp_path / "source.csv"
+    source.write_text(
+        'SSN,Occupation,Name,Age,Customer_ID,snapshot_date\n123-45-6789,"Doctor, ""MD""","O""Neil, J",41,c1,1996-01-01\n'
+    )
+    attributes = csv.read_source(spark, str(source), s.BRONZE["attributes"])
+    lake = new_lake(spark, tmp_path)
+    backfill.load_bronze(lake, {"attributes": attributes}, MONTHS)
+    backfill.build_silver(lake, MONTHS)
+    row = lake.read("silver", "attributes").first().asDict()
+    assert row["Name"] == 'O"Neil, J' and row["Occupation"] == 'Doctor, "MD"' and row["SSN"] == "MASKED"
+    assert "123-45-6789" not in str(row) and lake.read("bronze", "attributes").first()["SSN"] == "123-45-6789"
+
+
 def test_command_line(spark, sources, sf_dir, whole, tmp_path, capsys):
     source = str(tmp_path / "source")
     for table, df in sources.items():

@@ -13,7 +13,7 @@ from loanlake import schemas as s
 from loanlake.operators import gold
 from loanlake.operators.silver import CLEANERS
 from loanlake.sources import orders_feed
-from loanlake.sources.lake import Lake, write_partitioned
+from loanlake.sources.lake import Lake, newest_files, write_partitioned
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +89,24 @@ def test_no_cross_joins_and_no_python(spark, sf_dir, name):
     text = plan(registered.queries()[name](spark, sf_dir))
     for unwanted in ["CartesianProduct", "NestedLoopJoin", "PythonUDF", "MapInPandas", "FlatMapGroups"]:
         assert unwanted not in text
+
+
+def test_month_replacement_sorts_nothing(lake):
+    """Neither reads a column nor sorts rows to learn which months were written."""
+    text = plan(newest_files(lake.read("silver", "loans")))
+    assert "HashAggregate" in text and "Sort" not in text.replace("SortOrder", "")
+    assert re.search(r"ReadSchema: struct<>", text)
+
+
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy"))
+
+
+def test_building_the_feature_store_runs_no_job(spark, sf_dir, lake):
+    tables = {table: lake.read("silver", table) for table in s.SILVER}
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    gold.feature_store(**tables).explain()
+    gold.training_set(lake.read("silver", "loans"), lake.read("silver", "loans").selectExpr("loan_id", "1 label", "1 label_def"))
+    found = jobs(spark)
+    spark.sparkContext.setJobGroup("others", "others")
+    assert found == 0

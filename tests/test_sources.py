@@ -48,6 +48,45 @@ def test_numbers_and_dates(spark, tmp_path, any_ansi):
     assert found[1][:4] == (None, None, None, 2)
 
 
+def clickstream_text(*rows):
+    return ",".join(s.BRONZE["clickstream"].names) + "\n" + "".join(f"c,2023-01-01,{row}" + ",1" * 18 + "\n" for row in rows)
+
+
+def test_features_are_never_cut(spark, tmp_path, any_ansi):
+    path = write(tmp_path, clickstream_text("3.7,3000000000", "-2.9,x"))
+    found = csv.read_source(spark, path, s.BRONZE["clickstream"]).sort("fe_1").collect()
+    assert [(r["fe_1"], r["fe_2"]) for r in found] == [(-2.9, None), (3.7, 3e9)]
+
+
+@pytest.mark.parametrize("value", ["3.7", "3000000000", "NaN"])
+def test_number_that_is_not_whole_fails(spark, tmp_path, value, any_ansi):
+    path = write(tmp_path, ",".join(s.BRONZE["loans"].names) + f"\nL1,c1,2023-01-01,2023-02-01,{value},1,1,1,1,1,1\n")
+    with pytest.raises(Exception, match="no 32-bit whole number in tenure"):
+        csv.read_source(spark, path, s.BRONZE["loans"]).collect()
+
+
+def test_parts_in_another_column_order_fail(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Customer_ID,snapshot_date,Name,Age,SSN,Occupation\nc1,2023-01-01,Ann,40,111,Nurse\n")
+    (folder / "b.csv").write_text("Customer_ID,snapshot_date,Age,Name,Occupation,SSN\nc2,2023-01-01,41,Bob,Doctor,222\n")
+    source = csv.read_source(spark, str(folder), s.BRONZE["attributes"])
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        source.collect()
+
+
+def test_doubled_quotes_and_line_breaks(spark, tmp_path):
+    text = 'Customer_ID,snapshot_date,Name,Age,SSN,Occupation\nc1,2023-01-01,"O""Neil,\n J",41,222,"a ""b"""\n'
+    row = csv.read_source(spark, write(tmp_path, text), s.BRONZE["attributes"], multi_line=True).first()
+    assert (row["Name"], row["Age"], row["SSN"], row["Occupation"]) == ('O"Neil,\n J', "41", "222", 'a "b"')
+
+
+def test_line_breaks_are_not_written(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb",)], "Name string")
+    with pytest.raises(Exception, match="line break in Name"):
+        csv.write_csv(df, str(tmp_path / "out"))
+
+
 def test_header_without_rows(spark, tmp_path):
     path = write(tmp_path, ",".join(s.BRONZE["clickstream"].names) + "\n")
     df = csv.read_source(spark, path, s.BRONZE["clickstream"])
