@@ -1,5 +1,7 @@
 """Where intermediate tables go."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,11 +13,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def scratch_root(spark: SparkSession) -> str:
     """A new folder below the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may leave the setting out; a temporary folder of this machine is used then.
+    Only a local session may leave the setting out; a temporary folder of this machine is used then, and deleted when
+    the process ends.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        return tempfile.mkdtemp(prefix="loanlake-")
+        folder = tempfile.mkdtemp(prefix="loanlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     return f"{root.rstrip('/')}/loanlake-{uuid.uuid4().hex}"
