@@ -13,11 +13,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words and bases kept between batches (about 80 MB); others are encoded again in the next batch that has them.
-CACHED_WORDS = 200_000
-CACHED_BASES = 250_000
+#: Words and bases kept between batches (about 50 MB); others are encoded again in the next batch that has them.
+CACHED_WORDS = 120_000
+CACHED_BASES = 150_000
 #: Bytes of text encoded at a time.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 #: Marks that a word may end in; not the apostrophe, which starts endings, and no word with ``<|`` of special tokens.
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
