@@ -1,10 +1,14 @@
-"""Quality rules: counts of a text, and its perplexity under a modified Kneser-Ney model of the corpus.
+"""Quality rules: counts of a text, and its perplexity under modified Kneser-Ney models of the corpus.
 
-The model is one of runs of four characters. Characters are folded to ``SYMBOLS`` symbols, so that a corpus of any
+One model is of word runs and per language; it grows with the corpus and is described in ``word_model``. It has an upper
+band only: a text that other texts foretell is one that they repeat, which is for deduplication to judge.
+
+The other is one of runs of four characters, which tells how words are spelt. Characters are folded to ``SYMBOLS`` symbols, so that a corpus of any
 size has at most ``SYMBOLS ** 4`` different runs: tasks count them in an array of that size, Spark adds the arrays up,
 and the model, sorted arrays of run codes and probabilities per order, fits every executor. Counts cover all texts.
 
-Each language has a lower and an upper perplexity band around the median of its own texts; texts outside are rejected.
+Each language has a lower and an upper band of the second perplexity around the median of its own texts, and an upper
+one of the first; texts outside are rejected.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; it has no perplexity. A NULL language is a
 language of its own. Repeated rows are judged each. Extra columns are ignored. An empty table gives no rows.
@@ -20,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
+from loanlake.llm.word_model import language_key, log_perplexities
 from loanlake.llm.words import Words, mix, shingles, slices, split_words, text_bytes
 
 ORDER = 4
@@ -225,16 +230,16 @@ def _short_text_factor(steady: int) -> Column:
     return F.sqrt(1 + steady / F.greatest(F.col("word_chars"), F.lit(1)))
 
 
-def bands(scored: DataFrame, least_spread: float, steady: int) -> DataFrame:
-    """``_lang, middle, spread``: the median of a language's texts and how far texts are from it.
+def bands(scored: DataFrame, least_spread: float, steady: int, column: str = "log_perplexity") -> DataFrame:
+    """``_lang, middle, spread`` of ``column``: the median of a language's texts and how far texts are from it.
 
     The spread is the median distance from the median, scaled as for a normal distribution. Both medians are merged
     from sketches of all texts of a language, so a language with most texts is no single task's work.
     """
-    judged = scored.where(~F.col("base_failed") & F.col("log_perplexity").isNotNull())
-    middle = judged.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle"))
+    judged = scored.where(~F.col("base_failed") & F.col(column).isNotNull())
+    middle = judged.groupBy("lang").agg(F.percentile_approx(column, 0.5, 10_000).alias("middle"))
     middle = middle.select(F.col("lang").alias("_lang"), "middle")
-    distance = F.abs(F.col("log_perplexity") - F.col("middle")) / _short_text_factor(steady)
+    distance = F.abs(F.col(column) - F.col("middle")) / _short_text_factor(steady)
     far = judged.join(middle, F.col("lang").eqNullSafe(F.col("_lang"))).groupBy("_lang").agg(
         F.first("middle").alias("middle"), F.percentile_approx(distance, 0.5, 10_000).alias("distance")
     )
@@ -242,23 +247,37 @@ def bands(scored: DataFrame, least_spread: float, steady: int) -> DataFrame:
 
 
 def judge(docs: DataFrame, width: float = 5.0, least_spread: float = 0.01, steady: int = 1000) -> DataFrame:
-    """Every text's ``doc_id, lang, text_hash``, counts, ``base_failed``, ``perplexity``, its bands and ``kept``.
+    """Every text's ``doc_id, lang, text_hash``, counts, ``base_failed``, ``perplexity``, its bands, ``word_perplexity``,
+    its upper band and ``kept``.
 
     The bands lie ``width`` spreads of the language below and above its median. They are wider for short texts, by a
     half at about ``steady`` characters.
     """
     stash = Stash(docs.sparkSession)
-    scored = stash.keep(score(docs, fit_model(docs)).withColumn("base_failed", base_failed()), "scored")
+    of_words = stash.keep(log_perplexities(docs, stash), "word_scores")
+    scored = score(docs, fit_model(docs)).withColumns({"base_failed": base_failed(), "lang_key": language_key()})
+    scored = stash.keep(scored.join(of_words, ["text_hash", "lang_key"], "left").drop("lang_key"), "scored")
     limits = stash.keep(bands(scored, least_spread, steady), "bands")
-    reach = width * F.col("spread") * _short_text_factor(steady)
-    judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumns(
-        {"lower": F.col("middle") - reach, "upper": F.col("middle") + reach}
+    word_limits = stash.keep(
+        bands(scored, least_spread, steady, "word_log_perplexity").toDF("_word_lang", "word_middle", "word_spread"),
+        "word_bands",
     )
+    stash.keep_only(scored, limits, word_limits)
+    far = width * _short_text_factor(steady)
+    judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(
+        word_limits, F.col("lang").eqNullSafe(F.col("_word_lang")), "left"
+    ).withColumns({
+        "lower": F.col("middle") - far * F.col("spread"), "upper": F.col("middle") + far * F.col("spread"),
+        "word_upper": F.col("word_middle") + far * F.col("word_spread"),
+    })
     inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(True))
+    inside = inside & F.coalesce(F.col("word_log_perplexity") <= F.col("word_upper"), F.lit(True))
     return judged.select(
         "doc_id", "lang", "text_hash", *COUNTS, "base_failed",
         F.exp("log_perplexity").alias("perplexity"),
         F.exp("lower").alias("lowest_perplexity"), F.exp("upper").alias("highest_perplexity"),
+        F.exp("word_log_perplexity").alias("word_perplexity"),
+        F.exp("word_upper").alias("highest_word_perplexity"),
         (~F.col("base_failed") & inside).alias("kept"),
     )
 

@@ -1,0 +1,129 @@
+"""How well the words of a text follow from the words before them in other texts of its language.
+
+A modified Kneser-Ney model of word runs of one to three, one per language. Runs are counted by Spark over all texts, so
+the model grows with the corpus; it is three tables, keyed by the hashes of a run's words, and no executor holds one of
+them whole. Texts are dealt into two halves by their hash, and a text is scored by the counts of the half it isn't in:
+most runs of three are found once, and a text would be its own best evidence. Exact copies are in the same half.
+
+A table has a run's counts and probabilities in both halves, for the runs of either, so scoring is one join. Joins and
+counts are DataFrame operations: counts are added up before the shuffle, and adaptive execution splits what a frequent
+run makes large.
+
+Defined cases: the runs of a text's first words begin with edge marks. A context never seen in the other half leaves
+all weight to the shorter run, and a word never seen there has an equal share of what order one leaves. A text without
+words has no score. A NULL language is a language of its own.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from loanlake.llm.stash import Stash
+from loanlake.llm.words import slices, split_words
+
+HALVES = (0, 1)
+_EDGE = np.uint64(0x6A09E667F3BCC909)
+_RUN = ["lang_key", "u", "v", "w"]
+
+
+def language_key() -> Column:
+    return F.xxhash64("lang").alias("lang_key")
+
+
+def _before(hashes: np.ndarray, nth: np.ndarray, back: int) -> np.ndarray:
+    """The word so many places before each word of its text, or an edge mark."""
+    out = np.full(len(hashes), _EDGE)
+    inside = np.flatnonzero(nth >= back)
+    out[inside] = hashes[inside - back]
+    return out.view(np.int64)
+
+
+def runs(docs: DataFrame) -> DataFrame:
+    """``text_hash, lang_key, u, v, w`` of every word ``w`` and the two before it."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = split_words(batch.column("text"))
+            sizes = np.diff(words.first)
+            text = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            nth = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(text) for c in ("text_hash", "lang_key")],
+                    *[pa.array(_before(words.hashes, nth, back)) for back in (2, 1, 0)],
+                ],
+                ["text_hash", *_RUN],
+            )
+
+    wanted = docs.select(F.xxhash64("text").alias("text_hash"), language_key(), "text")
+    return wanted.mapInArrow(rows, "text_hash long, lang_key long, u long, v long, w long")
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """``lang_key`` and for each half ``h`` and ``k`` of 1 to 3, ``off{h}_{k}``: what is taken off counts of 1, 2 and
+    3 or more, from how many runs have counts of 1 to 4. At least a tenth."""
+    of = counts.groupBy("lang_key").agg(
+        *[F.count_if(F.col(f"c{h}") == k).cast("double").alias(f"n{h}_{k}") for h in HALVES for k in range(1, 5)]
+    )
+
+    def off(h: int, k: int) -> Column:
+        n = [None, *[F.col(f"n{h}_{i}") for i in range(1, 5)]]
+        # A count of 0 divides nothing: the fallback is taken then, and NULL is the value of x / 0 without ANSI mode.
+        safe = [None, *[F.greatest(x, F.lit(1.0)) for x in n[1:]]]
+        y = n[1] / (safe[1] + 2 * n[2])
+        found = k - (k + 1) * y * n[k + 1] / safe[k]
+        clipped = F.least(F.greatest(found, F.lit(0.1)), F.lit(float(k)))
+        return F.when(F.least(*n[1:]) == 0, F.lit(0.5 * k)).otherwise(clipped).alias(f"off{h}_{k}")
+
+    return of.select("lang_key", *[off(h, k) for h in HALVES for k in (1, 2, 3)])
+
+
+def _probabilities(counts: DataFrame, context: list[str], lower: DataFrame, stash: Stash, name: str) -> DataFrame:
+    """The keys of ``counts``, and ``p0, p1`` of the last word after the others; ``lower`` has those of shorter runs."""
+    keys = [c for c in counts.columns if c in _RUN]
+    off = stash.keep(discounts(counts), f"{name}-discounts")
+    rows = counts.join(off, "lang_key")
+    for h in HALVES:
+        c = F.col(f"c{h}")
+        taken = F.when(c == 0, 0.0).when(c == 1, F.col(f"off{h}_1")).when(c == 2, F.col(f"off{h}_2"))
+        rows = rows.withColumn(f"d{h}", taken.otherwise(F.col(f"off{h}_3")))
+    rows = rows.select(*keys, "c0", "c1", "d0", "d1")
+    totals = rows.groupBy(*context).agg(
+        *[F.sum(f"{x}{h}").alias(f"{x}{h}_all") for x in "cd" for h in HALVES]
+    )
+    shorter = [c for c in lower.columns if c in _RUN]
+    lower = lower.select(*shorter, *[F.col(f"p{h}").alias(f"lower{h}") for h in HALVES])
+    joined = rows.join(totals, context).join(lower, shorter)
+
+    def p(h: int) -> Column:
+        c, d, total, left, low = (F.col(x) for x in (f"c{h}", f"d{h}", f"c{h}_all", f"d{h}_all", f"lower{h}"))
+        return F.when(total > 0, (c - d + left * low) / total).otherwise(low).alias(f"p{h}")
+
+    return stash.keep(joined.select(*keys, p(0), p(1)), name)
+
+
+def model(docs: DataFrame, stash: Stash) -> DataFrame:
+    """``lang_key, u, v, w`` of all runs of three, and ``p0, p1``, the probability of ``w`` in either half.
+
+    Shorter runs count the different words that come before them.
+    """
+    half = F.col("text_hash").bitwiseAND(1)
+    counts = [F.count_if(half == h).alias(f"c{h}") for h in HALVES]
+    kinds = [F.count_if(F.col(f"c{h}") > 0).alias(f"c{h}") for h in HALVES]
+    three = stash.keep(runs(docs).groupBy(*_RUN).agg(*counts), "runs3")
+    two = stash.keep(three.groupBy("lang_key", "v", "w").agg(*kinds), "runs2")
+    one = stash.keep(two.groupBy("lang_key", "w").agg(*kinds), "runs1")
+    share = one.groupBy("lang_key").agg(*[(1 / F.count("*")).alias(f"p{h}") for h in HALVES])
+    of_one = _probabilities(one, ["lang_key"], share, stash, "model1")
+    of_two = _probabilities(two, ["lang_key", "v"], of_one, stash, "model2")
+    return _probabilities(three, ["lang_key", "u", "v"], of_two, stash, "model3")
+
+
+def log_perplexities(docs: DataFrame, stash: Stash) -> DataFrame:
+    """``text_hash, lang_key, word_log_perplexity``, the mean over the words, of every different text with words."""
+    found = runs(docs).join(model(docs, stash), _RUN)
+    p = F.when(F.col("text_hash").bitwiseAND(1) == 0, F.col("p1")).otherwise(F.col("p0"))
+    return found.groupBy("text_hash", "lang_key").agg((-F.avg(F.log(p))).alias("word_log_perplexity"))

@@ -1,0 +1,107 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from conftest_llm import words
+from pyspark.sql import functions as F
+
+from loanlake.llm import quality as q
+from loanlake.llm import word_model as wm
+from loanlake.llm.stash import Stash
+
+
+class Brute:
+    """Modified Kneser-Ney over words, by its definition, from the texts of one half."""
+
+    def __init__(self, texts, vocabulary):
+        self.vocabulary = vocabulary
+        self.counts = {3: Counter()}
+        for text in texts:
+            s = ["<", "<", *words(text)]
+            self.counts[3].update(tuple(s[k - 2 : k + 1]) for k in range(2, len(s)))
+        for n in (2, 1):
+            self.counts[n] = Counter(run[1:] for run in self.counts[n + 1])
+        self.off = {}
+        for n, counts in self.counts.items():
+            n1, n2, n3, n4 = (list(counts.values()).count(k) for k in (1, 2, 3, 4))
+            y = n1 / (n1 + 2 * n2) if n1 else 0
+            self.off[n] = [0, 0.5, 1, 1.5]
+            if min(n1, n2, n3, n4):
+                raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+                self.off[n] = [0, *[min(max(x, 0.1), k) for k, x in zip((1, 2, 3), raw, strict=True)]]
+
+    def probability(self, run):
+        if not run:
+            return 1 / self.vocabulary
+        n = len(run)
+        own = [c for r, c in self.counts[n].items() if r[:-1] == run[:-1]]
+        lower = self.probability(run[1:])
+        if not own:
+            return lower
+        c, off = self.counts[n][run], self.off[n]
+        return (c - off[min(c, 3)] + sum(off[min(x, 3)] for x in own) * lower) / sum(own)
+
+    def log_perplexity(self, text):
+        s = ["<", "<", *words(text)]
+        logs = [math.log(self.probability(tuple(s[k - 2 : k + 1]))) for k in range(2, len(s))]
+        return -sum(logs) / len(logs)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string")
+
+
+def sentences(rng, follows, n):
+    word, out = rng.choice(list(follows)), []
+    for _ in range(n):
+        out.append(word)
+        word = rng.choice(follows[word])
+    return out
+
+
+def ordered(n=120, shuffled=8):
+    """Texts in which each word is followed by one of three, and some with the same words in any order."""
+    rng = random.Random(5)
+    vocabulary = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "be", "fu", "go") for b in ("ren", "tu", "so", "va", "pi", "ha")
+                  for c in ("", "da", "ne", "s", "ko", "li", "m")]
+    follows = {w: rng.sample(vocabulary, 3) for w in vocabulary}
+    rows = [(i, "en", " ".join(sentences(rng, follows, 120))) for i in range(n)]
+    for i in range(n, n + shuffled):
+        text = sentences(rng, follows, 120)
+        rng.shuffle(text)
+        rows.append((i, "en", " ".join(text)))
+    return rows
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(2)
+    rows = [(i, ["en", None, ""][i % 3], " ".join(rng.choice("aAbcdefgh") for _ in range(rng.randrange(1, 25))))
+            for i in range(60)]
+    rows += [(90, "en", rows[0][2]), (90, "en", rows[0][2]), (91, "de", "alone here"), (92, "en", ""), (93, "en", None)]
+    docs = frame(spark, rows)
+    half = {(r["lang"], r["text"]): r["h"] & 1 for r in docs.select("*", F.xxhash64("text").alias("h")).collect()}
+    found = wm.log_perplexities(docs, Stash(spark))
+    keyed = docs.select("lang", "text", wm.language_key(), F.xxhash64("text").alias("text_hash")).distinct()
+    got = {(r["lang"], r["text"]): r["word_log_perplexity"]
+           for r in keyed.join(found, ["text_hash", "lang_key"]).collect()}
+    want = {}
+    for _, lang, text in rows:
+        if text:
+            own = [t for _, x, t in rows if x == lang and t]
+            other = [t for t in own if half[lang, t] != half[lang, text]]
+            want[lang, text] = Brute(other, len({w for t in own for w in words(t)})).log_perplexity(text)
+    assert got == pytest.approx(want)
+
+
+def test_words_in_the_wrong_order_are_rejected(spark):
+    found = {r["doc_id"]: r for r in q.judge(frame(spark, ordered())).collect()}
+    assert {i for i, r in found.items() if not r["kept"]} == set(range(120, 128))
+    assert not any(r["base_failed"] for r in found.values())
+
+
+def test_model_grows_with_the_corpus(spark):
+    rng = random.Random(7)
+    rows = [(i, "en", " ".join(f"w{rng.randrange(10**6)}" for _ in range(50))) for i in range(40)]
+    sizes = [wm.model(frame(spark, rows[:n]), Stash(spark)).count() for n in (4, 40)]
+    assert sizes == [200, 2000]
