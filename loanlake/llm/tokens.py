@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and lets no token reach over it, so a text's ids are the ids of its words one after
 the other, where words are split at ``[\\x20\\x09-\\x0D]``. Nor does a token reach from a letter to the marks after it,
-and case doesn't matter: a word is its base in lower case and its last marks. Each distinct base of a batch
+and case doesn't matter but in special tokens: a word is its base in lower case and its last marks. Each distinct base of a batch
 is encoded once, and common ones once per process; tests compare with encoding whole texts.
 """
 
@@ -65,7 +65,8 @@ class WordEncoder:
             word = base
         else:
             mark = b""
-        return self._bases[word.lower() if word.isascii() else word], self._bases[mark]
+        # Special tokens are matched on the text as it is, before its case is folded.
+        return self._bases[word.lower() if word.isascii() and b"<|" not in word else word], self._bases[mark]
 
     def _learn(self) -> None:
         new = self._words.words[len(self._parts) :]
