@@ -242,6 +242,11 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1
     those with an equal set. Links within the classes of equal sets need no comparison; a link between classes counts
     for all documents of both.
     """
+    return _linked(docs, threshold, tolerance).drop("component")
+
+
+def _linked(docs: DataFrame, threshold: float, tolerance: float = 1e-6) -> DataFrame:
+    """``link_documents`` with ``component``, which tells classes with the same least id apart; NULL without words or id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     stash = Stash(docs.sparkSession)
     signed = stash.keep(signatures(docs), "signed")
@@ -288,27 +293,43 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1
     names = labelled.groupBy("component").agg(F.min("copy_id").alias("class_id"))
     answers = stash.keep(
         labelled.join(stash.keep(names, "names"), "component").join(links, "set_key", "left").select(
-            "set_key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+            "set_key", "component", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
         ),
         "answers",
     )
     stash.keep_only(signed, answers)
     return signed.select("doc_id", "text_hash", "set_key").join(answers, "set_key", "left").select(
-        "doc_id", "text_hash", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
+        "doc_id", "text_hash", "component", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
 def keep_one_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each class, that with the least id; rows that repeat it stay with it.
+    """``docs`` with one row of each class: of the texts with the least id that with the least hash, once.
 
     Rows without an id or without words stay.
     """
-    judged = link_documents(docs, threshold).where("doc_id <> class_id")
-    drop = judged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    drop = Stash(docs.sparkSession).keep(drop, "dropped")
-    few = drop.count() <= BROADCAST_IDS
+    stash = Stash(docs.sparkSession)
+    texts = _linked(docs, threshold).where("component IS NOT NULL").groupBy("component", "doc_id", "text_hash")
+    texts = stash.keep(texts.agg(F.count("*").alias("n")), "texts")
+    one = texts.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    judged = texts.join(one, "component").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("one"))
+    drop = judged.where("NOT stays OR n > 1").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "stays"
+    )
+    drop = stash.keep(drop, "dropped")
     own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
     rows = docs.select(F.struct("*").alias("row"), *own)
-    same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    return rows.join(F.broadcast(drop) if few else drop, same, "left_anti").select("row.*")
+
+    def matched(keys: DataFrame, how: str) -> DataFrame:
+        same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        few = keys.count() <= BROADCAST_IDS
+        return rows.join(F.broadcast(keys) if few else keys, same, how)
+
+    kept = matched(drop, "left_anti").select("row.*")
+    again = drop.where("stays")
+    if again.isEmpty():
+        return kept
+    # Equal rows are brought to one within each task before they are dealt by key.
+    once = matched(again, "left_semi").groupBy("doc_id", "text_hash").agg(F.first("row").alias("row"))
+    return kept.unionAll(once.select("row.*"))
