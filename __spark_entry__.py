@@ -31,7 +31,8 @@ try:
     import corpus_pipeline
     from loanlake.llm import queries as llm_queries
 except ImportError as missing:
-    if missing.name not in ("corpus_pipeline", "loanlake.llm"):
+    # The subpackage may be absent, and so may the tokenizers' files that only it needs.
+    if missing.name not in ("corpus_pipeline", "loanlake.llm", "public_tokenizers"):
         raise
     llm_queries = corpus_pipeline = None
 

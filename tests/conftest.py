@@ -38,9 +38,3 @@ def any_ansi(request, spark):
     spark.conf.set("spark.sql.ansi.enabled", request.param)
     yield request.param
     spark.conf.set("spark.sql.ansi.enabled", before)
-
-
-def rows(df, *columns):
-    """All rows as sorted tuples, columns in name order unless given."""
-    found = df.select(*(columns or sorted(df.columns))).collect()
-    return sorted([tuple(row) for row in found], key=lambda row: tuple((v is None, str(v)) for v in row))

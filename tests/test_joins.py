@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from loanlake.operators.joins import SkewPolicy, hot_keys, inner_join, left_joins
 
 KEYS = ["k", "d"]

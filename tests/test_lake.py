@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from conftest import rows
+from frames import rows
 from loanlake import schemas as s
 from loanlake.functions.calendar import month_starts
 from loanlake.operators import audit, gold, silver

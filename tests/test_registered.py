@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-from conftest import rows
+from frames import rows
 
 QUERIES = registered.pipeline_queries()
 

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from loanlake import schemas as s
 from loanlake.sources import csv, orders_feed
 from loanlake.sources.scratch import scratch_root
