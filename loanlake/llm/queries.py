@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import compact_windows, decontamination, line_dedup, ngram_jaccard, packing, quality, sharding, suffix_dedup, token_file, url_rules
+from loanlake.llm import alignment, compact_windows, decontamination, line_dedup, ngram_jaccard, packing, quality, sharding, suffix_dedup, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ LISTED_RULES = [
 ]
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,10 @@ def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text_hash")
 
 
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_documents(spark, sf_dir), *ALIGNED)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": ngram_jaccard_join,
@@ -87,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op8_association_url_filter": association_url_filter,
         "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
         "op10_kneser_ney_quality": kneser_ney_quality,
+        "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
     }
 
 
