@@ -56,10 +56,10 @@ class Words:
     data: np.ndarray
 
 
-def split_words(column: pa.Array, fold: bool = True) -> Words:
-    """The words of all texts; without ``fold`` A-Z and a-z differ."""
+def split_words(column: pa.Array, fold: bool = True, breaks: np.ndarray = _SPACE) -> Words:
+    """The words of all texts; without ``fold`` A-Z and a-z differ. ``breaks`` marks the bytes between words."""
     data, first_byte = text_bytes(column)
-    space = _SPACE[data]
+    space = breaks[data]
     inner = first_byte[(first_byte > 0) & (first_byte < len(data))]
     before = np.ones(len(data), dtype=bool)  # is there a space or an end of text before the byte
     before[1:] = space[:-1]
