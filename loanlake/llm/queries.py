@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import alignment, compact_windows, decontamination, licenses, line_dedup, ngram_jaccard, packing, quality, sharding, suffix_dedup, token_file, url_rules
+from loanlake.llm import alignment, compact_windows, decontamination, hard_negatives, licenses, line_dedup, ngram_jaccard, packing, quality, sharding, suffix_dedup, token_file, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,10 @@ def suffix_automaton_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_documents(spark, sf_dir)).drop("spans")
 
 
+def spanning_tree_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_documents(spark, sf_dir), *ALIGNED)
 
@@ -97,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op9_minimum_bin_slack_packing": minimum_bin_slack_packing,
         "op10_kneser_ney_quality": kneser_ney_quality,
         "op11_suffix_automaton_licenses": suffix_automaton_licenses,
+        "op12_spanning_tree_hard_negatives": spanning_tree_hard_negatives,
         "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
     }
 
