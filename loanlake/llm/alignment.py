@@ -20,7 +20,7 @@ Special tokens' strings are plain text. Extra columns are ignored. An empty tabl
 
 import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from hashlib import sha256
 from itertools import chain, islice
 
@@ -35,7 +35,7 @@ from loanlake.llm.stash import Stash
 from loanlake.llm.words import slices
 
 #: Units kept between batches; others are encoded again in the next batch that has them.
-CACHED_UNITS = 200_000
+CACHED_UNITS = 100_000
 #: Bytes of text in a set of tables.
 BATCH_BYTES = 1_000_000
 #: Rows of counted pairs that a task holds before it adds them up.
@@ -49,7 +49,7 @@ _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _UNIT = regex.compile(r"(?<=\S)(?= \S)")
 #: ASCII texts without these are cut at every space.
 _WIDE = [x + y for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f " for x, y in ((" ", c), (c, " "))]
-_ENCODED = "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>"
+_ENCODED = "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<{}>"
 _RESULT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 _KINDS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -71,28 +71,32 @@ class ByteTokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
+        self._path = path
         byte = {c: b for b, c in _byte_level().items()}
-        model = json.loads(self._whole.to_str())["model"]
-        added = {t.content for t in self._whole.get_added_tokens_decoder().values()}
-        ranks = {bytes(byte[c] for c in e): i for e, i in model["vocab"].items() if e not in added}
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        made = [model["vocab"][a + b] for a, b in merges]
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        vocabulary, added = parts["model"]["vocab"], {t["content"]: t["id"] for t in parts["added_tokens"]}
+        ranks = {bytes(byte[c] for c in e): i for e, i in vocabulary.items() if e not in added}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in parts["model"]["merges"]]
+        made = [vocabulary[a + b] for a, b in merges]
         self._quick = None
         if made == sorted(made):
             import tiktoken
 
             self._quick = tiktoken.Encoding(path, pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
-        known: list[bytes | None] = [None] * self._whole.get_vocab_size(with_added_tokens=True)
-        for token, i in ranks.items():
+        known: list[bytes | None] = [None] * (1 + max([*vocabulary.values(), *added.values()]))
+        for token, i in [*ranks.items(), *[(t.encode(), i) for t, i in added.items()]]:
             known[i] = token
-        for i, t in self._whole.get_added_tokens_decoder().items():
-            known[i] = t.content.encode()
         self.bytes = pa.array(known, pa.large_binary())
 
+    @cached_property
+    def _whole(self):
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self._path)
+        found.encode_special_tokens = True
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         if self._quick:
             try:
@@ -255,14 +259,18 @@ def _group_texts(links: pa.Table, n: int) -> tuple[np.ndarray, list[str]]:
     return counts, pc.binary_join(pa.ListArray.from_arrays(first, texts), ";").to_pylist()
 
 
-def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One number for two ids; neighbours in order have the same ``a``."""
-    return a.astype(np.int64) << 32 | b
+def _pair_type(n_a: int, n_b: int) -> str:
+    """Of numbers for two ids, given how many ids there are: four bytes for two ordinary vocabularies."""
+    return "int" if n_a * n_b < 2**31 else "long"
 
 
 def linked_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """Per document the numbers of tokens and groups, a digest of the groups, the ``pairs`` of linked ids in order, and
-    a number of the row, which is fixed once it is written."""
+    """Per document the numbers of tokens and groups, a digest of the groups, the ``pairs`` of linked ids in order
+    (``a`` times the number of second ids, plus ``b``), and a number of the row, which is fixed once it is written."""
+
+    encoder = pair_encoder(path_a, path_b)
+    n_b, kind = len(encoder.bytes_b), _pair_type(len(encoder.bytes_a), len(encoder.bytes_b))
+    schema = _ENCODED.format(kind)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = pair_encoder(path_a, path_b), 0
@@ -274,16 +282,17 @@ def linked_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             links = _links(a, b, encoder.bytes_a, encoder.bytes_b)
             groups, texts = _group_texts(links, n)
             first = np.searchsorted(links["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32)
-            pairs = pa.array(_pair_keys(links["a"].to_numpy(), links["b"].to_numpy()))
+            pairs = links["a"].to_numpy().astype(np.int64) * n_b + links["b"].to_numpy()
+            pairs = pa.array(pairs.astype(np.int32 if kind == "int" else np.int64))
             yield pa.RecordBatch.from_arrays(
                 [number, batch.column("doc_id"), _sizes_of_lists(a), _sizes_of_lists(b), pa.array(groups, pa.int64()),
                  pa.array([sha256(t.encode()).hexdigest() if t else "" for t in texts], pa.string()),
                  pa.ListArray.from_arrays(first, pairs)],
-                [c.split()[0] for c in _ENCODED.split(", ")],
+                [c.split()[0] for c in schema.split(", ")],
             )
 
     part = F.shiftleft(F.spark_partition_id().cast("long"), 40).alias("part")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", part).mapInArrow(rows, _ENCODED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", part).mapInArrow(rows, schema)
 
 
 def _few_links(batches: Iterable[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
@@ -300,7 +309,7 @@ def _few_links(batches: Iterable[pa.RecordBatch], most: int = 1_000_000) -> Iter
 
 def _once_per_document(pairs: pa.ListArray) -> pa.Table:
     """``doc, pair, n``: the different pairs of each document and how often each is in it."""
-    flat = pa.table({"doc": pc.list_parent_indices(pairs), "pair": pc.list_flatten(pairs)})
+    flat = pa.table({"doc": pc.list_parent_indices(pairs), "pair": pc.list_flatten(pairs).cast(pa.int64())})
     found = flat.group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")])
     return found.rename_columns({"count_all": "n"})
 
@@ -332,10 +341,10 @@ def pair_counts(linked: DataFrame) -> DataFrame:
     return linked.select("pairs").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def with_best(counts: DataFrame) -> DataFrame:
+def with_best(counts: DataFrame, n_b: int) -> DataFrame:
     """``pair, n, best``: whether no other pair with the same first id is in more documents. An id of the first
     tokenizer has no more pairs than the second has ids."""
-    of_first = Window.partitionBy(F.shiftright("pair", 32))
+    of_first = Window.partitionBy(F.floor(F.col("pair") / n_b))
     return counts.withColumn("best", F.col("n") == F.max("n").over(of_first))
 
 
@@ -391,6 +400,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, broadcast_pairs:
     """Per document the numbers of tokens, groups and links, how many links are their first id's most frequent in the
     corpus (``n_best``), the sum of their counts, and a digest of the groups."""
     stash = Stash(docs.sparkSession)
-    linked = stash.keep(linked_documents(docs, path_a, path_b), "links")
-    counts = stash.keep(with_best(pair_counts(linked)), "pairs")
+    n_b = len(pair_encoder(path_a, path_b).bytes_b)
+    # Lists are long: a task holds no more than a few megabytes of each before it writes them.
+    linked = stash.keep(linked_documents(docs, path_a, path_b), "links", **{"parquet.block.size": 16 << 20})
+    counts = stash.keep(with_best(pair_counts(linked), n_b), "pairs")
     return (_looked_up if counts.count() <= broadcast_pairs else _joined_up)(linked, counts)

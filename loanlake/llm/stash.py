@@ -40,10 +40,10 @@ class Stash:
         self._count += 1
         return f"{self._root}/{self._count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back."""
+    def keep(self, df: DataFrame, name: str, **options) -> DataFrame:
+        """Write ``df``, with the writer's ``options``, and read it back."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         kept = self._spark.read.schema(df.schema).parquet(path)
         self._paths[id(kept)] = path
         self._tables.append(kept)

@@ -78,7 +78,7 @@ def brute(rows):
 MORE = [(100, " leading"), (101, "  two  spaces   three \n\n tab\t end  "), (102, "a▁b"), (103, "<s> </s> <unk> <0x41>"),
         (104, "\x00\x01 \x85 \xa0x   　y"), (105, "don't we'll I'M 3.14 €uro naïve 😀👍🏽"), (106, " "), (107, "\n"),
         (108, "x" * 5000 + " y"), (109, "ﬁ Å ½ é ﻿ ​"), (110, "the the the the"), (111, " \x1c a \x1f b"),
-        (112, "<|endoftext|>a <|endoftext|>")]
+        (112, "<|endoftext|>a <|endoftext|>"), (113, " " * 300_000 + "a  b")]
 
 
 @pytest.mark.parametrize("most", [alignment.BROADCAST_PAIRS, 0])
