@@ -21,7 +21,7 @@ from loanlake import schemas as s
 from loanlake.functions.calendar import month_starts, snapshot_calendar
 from loanlake.operators import audit, gold, silver
 from loanlake.operators.joins import SkewPolicy
-from loanlake.plans import backfill
+from loanlake.plans import backfill, refresh
 from loanlake.sources import csv, orders_feed
 from loanlake.sources.lake import Lake, read_table, write_partitioned
 from loanlake.sources.scratch import scratch_root
@@ -256,6 +256,21 @@ def _left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill.left_out(lake, months)
 
 
+def _refresh_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second run rebuilds if the financials of one month have changed."""
+    lake = Lake(spark, f"{scratch_root(spark)}/lake")
+    sources, bounds = orders_feed.source_tables(spark, sf_dir), _bounds(spark, sf_dir)
+    backfill.run_backfill(lake, sources, *bounds)
+    changed = F.when(F.col(s.SNAPSHOT) == F.lit(ONE_MONTH), F.lit("Good")).otherwise(F.col("Credit_Mix"))
+    sources["financials"] = sources["financials"].withColumn("Credit_Mix", changed)
+    return refresh.refresh(lake, sources, *bounds)
+
+
+def _logged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {name: len(df.columns) for name, df in _lake_stores(spark, sf_dir).items()}
+    return audit.logged_profile(_lake(spark, sf_dir).latest(), columns)
+
+
 def _lake_stores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {table: _lake(spark, sf_dir).read("gold", table) for table in s.GOLD}
 
@@ -319,6 +334,12 @@ def pipeline_queries() -> dict[str, Query]:
         "month_rerun_without_rows": _month_without_rows,
         "lake_training_set": _lake_training,
         "lake_row_audit": _row_audit,
+        "lake_stage_counts": lambda spark, sf_dir: audit.stage_counts(_lake(spark, sf_dir).latest()),
+        "lake_logged_label_distribution": lambda spark, sf_dir: audit.logged_label_distribution(
+            _lake(spark, sf_dir).latest()
+        ),
+        "lake_logged_profile": _logged_profile,
+        "lake_refresh_actions": _refresh_actions,
         "lake_left_out_months": _left_out,
         "lake_feature_store": _lake_table("feature_store"),
         "lake_label_store": _lake_table("label_store"),

@@ -94,27 +94,28 @@ def written_row_audit(
 ) -> DataFrame:
     """Rows that each written table has and should have, by month, and rows of the sources outside all months.
 
-    What a table should have follows from the written tables below it: bronze from the sources, silver from the keys
+    This is the check of :func:`stage_counts`, which the writes leave: it counts sources and tables again, each in one
+    pass. What a table should have follows from the written tables below it: bronze from the sources, silver from the keys
     in bronze, features from the applications and the customer rows that each of them meets, labels from the age of
     loans. ``n_missing`` is the difference. Source rows whose date is unreadable or in none of ``months`` are counted
     as layer ``rejected`` without a month; nothing of them should be written.
     """
     clean = {name: _all_present(*s.CUSTOMER_MONTH) for name in sources}
     clean["loans"] = _all_present(s.CUSTOMER, s.LOAN, s.SNAPSHOT)
-    expected, counted, rejected = [], [], []
+    expected, counted, found = [], [], []
+    listed = F.broadcast(months.withColumn("_listed", F.lit(True)))
     for name, rows in sources.items():
-        inside = rows.select(s.SNAPSHOT).join(F.broadcast(months), s.SNAPSHOT, "left_semi")
-        outside = rows.select(s.SNAPSHOT).join(F.broadcast(months), s.SNAPSHOT, "left_anti")
-        expected.append(_counted(inside, "bronze", name, "n_expected"))
+        # A row per month and one for the rest: the dates are joined before they are counted, in one pass.
+        place = F.when(F.col("_listed"), F.col(s.SNAPSHOT)).alias(s.SNAPSHOT)
+        placed = rows.select(s.SNAPSHOT).join(listed, s.SNAPSHOT, "left").select(place)
+        of_source = placed.groupBy(s.SNAPSHOT).agg(F.count("*").alias("n_expected"))
+        found.append(of_source.select(
+            s.SNAPSHOT, F.when(F.col(s.SNAPSHOT).isNull(), "rejected").otherwise("bronze").alias("layer"),
+            F.lit(name).alias("table_name"), "n_expected",
+        ))
         expected.append(_counted(written["bronze"][name].where(clean[name]), "silver", name, "n_expected"))
         counted.append(_counted(written["bronze"][name], "bronze", name, "n_counted"))
         counted.append(_counted(written["silver"][name], "silver", name, "n_counted"))
-        rejected.append(
-            outside.agg(F.count("*").alias("n_expected")).select(
-                F.lit(None).cast("date").alias(s.SNAPSHOT), F.lit("rejected").alias("layer"),
-                F.lit(name).alias("table_name"), "n_expected",
-            )
-        )
     loans = written["silver"]["loans"]
     features = gold.loans_at_application(loans).select(*s.CUSTOMER_MONTH)
     per_key = F.lit(1)
@@ -130,14 +131,77 @@ def written_row_audit(
     expected.append(_counted(loans.where(F.col("mob") == mob), "gold", "label_store", "n_expected"))
     counted += [_counted(written["gold"][name], "gold", name, "n_counted") for name in s.GOLD]
     key = [s.SNAPSHOT, "layer", "table_name"]
-    both = reduce(DataFrame.unionAll, expected).join(reduce(DataFrame.unionAll, counted), key, "full_outer")
-    everything = both.unionByName(reduce(DataFrame.unionAll, rejected), allowMissingColumns=True)
+    # Every source has a row for the rejected, also if there are none. Months times tables, a few thousand rows.
+    none = sources[next(iter(sources))].sparkSession.createDataFrame(
+        [(None, "rejected", name) for name in sources], "snapshot_date date, layer string, table_name string"
+    )
+    expected = reduce(DataFrame.unionAll, [*found, *expected]).unionByName(none, allowMissingColumns=True)
+    expected = expected.groupBy(*key).agg(F.sum("n_expected").alias("n_expected"))
+    counted = reduce(DataFrame.unionAll, counted)
+    same = reduce(Column.__and__, [F.col(f"e.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key])
+    everything = expected.alias("e").join(counted.alias("c"), same, "full_outer").select(
+        *[F.coalesce(f"e.{c}", f"c.{c}").alias(c) for c in key], "n_expected", "n_counted"
+    )
     n = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_expected", "n_counted")}
     return everything.select(*key, *[x.alias(c) for c, x in n.items()]).withColumn(
         "n_missing", F.when(F.col("layer") == "rejected", F.lit(0)).otherwise(F.col("n_expected") - F.col("n_counted"))
     )
 
 
+#: What a write's own counts are called in the audit, by layer and stage.
+_STAGES = {
+    ("bronze", "output"): "slice", ("silver", "input"): "input", ("silver", "output"): "output",
+    ("gold", "at_application"): "at_application", ("gold", "output"): "output",
+}
+
+
+def stage_counts(log: DataFrame) -> DataFrame:
+    """Rows that went in and out of every stage by month, as counted by the jobs that wrote them; no table is read.
+
+    ``log`` is :meth:`Lake.latest`. What goes into a gold table is what came out of the silver ones. ``n`` is NULL where
+    a write could not be sure of its counts. Source rows of no processed month are counted as layer ``rejected``,
+    without a month.
+    """
+    noted = log.select(s.SNAPSHOT, "layer", "table_name", F.explode("counts").alias("stage", "n"))
+    here = noted.where(F.col(s.SNAPSHOT).isNotNull())
+
+    def renamed(rows: DataFrame, layer: Column, table: Column, stage: Column) -> DataFrame:
+        return rows.select(s.SNAPSHOT, layer.alias("layer"), table.alias("table_name"), stage.alias("stage"), "n")
+
+    names = F.create_map(*[F.lit(x) for (layer, stage), name in _STAGES.items() for x in (f"{layer}.{stage}", name)])
+    name = names[F.concat_ws(".", "layer", "stage")]
+    own = renamed(here.where(name.isNotNull()), F.col("layer"), F.col("table_name"), name)
+    silver_out = here.where("layer = 'silver' AND stage = 'output'")
+    gold_out = here.where("layer = 'gold'")
+    gold_name, fs, ls = F.lit("gold"), F.lit("feature_store"), F.lit("label_store")
+    parts = [
+        own,
+        renamed(silver_out, gold_name, fs, F.concat(F.col("table_name"), F.lit("_input"))),
+        renamed(silver_out.where("table_name = 'loans'"), gold_name, ls, F.lit("input")),
+        renamed(gold_out.where("stage = 'at_application'"), gold_name, fs, F.lit("base")),
+        renamed(gold_out.where("table_name = 'label_store' AND stage = 'output'"), gold_name, ls, F.lit("at_mob")),
+        renamed(
+            noted.where(F.col(s.SNAPSHOT).isNull() & (F.col("stage") == "source")),
+            F.lit("rejected"), F.col("table_name"), F.lit("source"),
+        ),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def logged_label_distribution(log: DataFrame) -> DataFrame:
+    """:func:`label_distribution` of all published months, from what the writes have counted."""
+    of = log.where("layer = 'gold' AND table_name = 'label_store'").select(F.explode("counts").alias("tag", "n"))
+    labels = of.where("tag LIKE 'label=%' AND n > 0").withColumn("label", F.substring("tag", 7, 20).try_cast("int"))
+    return labels.groupBy("label").agg(F.sum("n").alias("n"))
+
+
+def logged_profile(log: DataFrame, columns: dict[str, int]) -> DataFrame:
+    """:func:`dataset_profile` of gold tables with so many ``columns``, from the rows noted for each month."""
+    rows = log.where("layer = 'gold'").groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
+    known = F.create_map(*[F.lit(x) for item in columns.items() for x in item])
+    return rows.select("table_name", "n_rows", known[F.col("table_name")].alias("n_columns"))
+
+
 def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table."""
     parts = [

@@ -30,12 +30,13 @@ def join_customer_features(
     applications: DataFrame,
     customers: dict[str, DataFrame],
     policy: SkewPolicy | None = None,
+    hot: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Left-join customer tables to the loans of the same customer and month, keys first.
 
-    A key that occurs twice in a customer table gives two rows.
+    A key that occurs twice in a customer table gives two rows. For ``policy`` and ``hot`` see :func:`left_joins`.
     """
-    joined = left_joins(applications, customers, s.CUSTOMER_MONTH, policy)
+    joined = left_joins(applications, customers, s.CUSTOMER_MONTH, policy, hot)
     own = [name for df in customers.values() for name in df.columns if name not in s.CUSTOMER_MONTH]
     return joined.select(*s.CUSTOMER_MONTH, *s.LOAN_FEATURES, *own)
 
@@ -75,8 +76,20 @@ def feature_store(
 
     With a ``policy``, hot keys are looked up and their rows spread; without, building this runs no job.
     """
+    return features_of(loans_at_application(loans), clickstream, attributes, financials, policy)
+
+
+def features_of(
+    applications: DataFrame,
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    policy: SkewPolicy | None = None,
+    hot: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The feature store of given applications."""
     customers = customer_features(clickstream, attributes, financials)
-    joined = join_customer_features(loans_at_application(loans), customers, policy)
+    joined = join_customer_features(applications, customers, policy, hot)
     return add_risk_band(add_ratios(fill_features(joined)))
 
 

@@ -1,7 +1,8 @@
 """The whole run from source files to gold tables over a range of months.
 
-Every step handles all its months in one job per table and leaves a written table, so a lost executor or a stopped run
-costs no more than the step at hand. A range of one month re-runs that month and leaves the others alone.
+Every step handles all its months in one job per table, counts rows on the way, and publishes them together, so a lost
+executor or a stopped run costs no more than the step at hand and no reader sees half of it. A range of one month re-runs
+that month and leaves the others alone; ``plans.refresh`` finds the months that need it.
 """
 
 import argparse
@@ -12,12 +13,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlake import schemas as s
 from loanlake.functions.calendar import month_starts
 from loanlake.operators import audit, gold
-from loanlake.operators.joins import DEFAULT_POLICY, SkewPolicy
+from loanlake.operators.joins import DEFAULT_POLICY, SkewPolicy, hot_keys
 from loanlake.operators.silver import CLEANERS
 from loanlake.sources.csv import read_sources
-from loanlake.sources.lake import Lake
+from loanlake.sources.lake import Lake, Staged, of_months
+from loanlake.sources.tally import Tally
 
 # The default range and label definition.
 FIRST_MONTH = "2023-01-01"
@@ -31,11 +34,60 @@ CUSTOMER_TABLES = ["clickstream", "attributes", "financials"]
 SILVER_ORDER = {"loans": ["installment_num"]}
 
 
-def _together(writes: list[Callable[[], None]]) -> None:
+def together[T](steps: list[Callable[[], T]]) -> list[T]:
     """Run independent writes at the same time, so that the last tasks of one leave no executor idle."""
-    with ThreadPoolExecutor(max(1, len(writes))) as pool:
-        for done in [pool.submit(write) for write in writes]:
-            done.result()
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
+def stage_bronze(lake: Lake, table: str, rows: DataFrame, months: list[date], in_month_order: bool = False) -> Staged:
+    """Source rows as received, by month; all rows of the source are counted on the way, whatever their date."""
+    source = Tally()
+    return lake.stage(
+        source.watch(rows), "bronze", table, months, rebalance=not in_month_order, tallies={"source": source}
+    )
+
+
+def stage_silver(lake: Lake, table: str, months: list[date]) -> Staged:
+    """Clean rows. Bronze files hold one month each, so a task writes few months and nothing is shuffled."""
+    bronze = Tally()
+    rows = CLEANERS[table](bronze.watch(lake.read("bronze", table, months)))
+    return lake.stage(rows, "silver", table, months, sort_by=SILVER_ORDER.get(table), tallies={"input": bronze})
+
+
+def _hot_keys(lake: Lake, applications: DataFrame, customers: dict[str, DataFrame], policy: SkewPolicy, months: list[date]):
+    """The hot keys of the join of features. A table with no more rows than a hot key has in the log isn't searched,
+    and the others are searched at the same time."""
+    wanted = (F.col("layer") == "silver") & of_months(months)
+    sizes = lake.processed().where(wanted).groupBy("table_name").agg(F.sum("n_rows").alias("n"))
+    n = {row["table_name"]: row["n"] for row in sizes.collect()}
+    tables = {"left": applications, **customers}
+    large = [name for name in tables if n.get("loans" if name == "left" else name, 0) > policy.min_rows]
+    found = together([lambda name=name: hot_keys({name: tables[name]}, s.CUSTOMER_MONTH, policy) for name in large])
+    return {name: keys for of in found for name, keys in of.items()}
+
+
+def stage_features(lake: Lake, months: list[date], policy: SkewPolicy = DEFAULT_POLICY) -> Staged:
+    """The feature store of the given months."""
+    tables = {table: lake.read("silver", table, months) for table in ["loans", *CUSTOMER_TABLES]}
+    applications = gold.loans_at_application(tables.pop("loans"))
+    hot = _hot_keys(lake, applications, gold.customer_features(**tables), policy, months)
+    base = Tally()
+    rows = gold.features_of(base.watch(applications), **tables, hot=hot)
+    return lake.stage(rows, "gold", "feature_store", months, rebalance=True, tallies={"at_application": base})
+
+
+def definition(dpd: int, mob: int) -> str:
+    return f"{dpd}dpd_{mob}mob"
+
+
+def stage_labels(lake: Lake, months: list[date], dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -> Staged:
+    """The label store of the given months; rows are counted by label."""
+    rows = gold.label_store(lake.read("silver", "loans", months), dpd, mob)
+    by_label = Tally(F.concat(F.lit("label="), F.coalesce(F.col("label").cast("string"), F.lit("null"))))
+    return lake.stage(
+        rows, "gold", "label_store", months, rebalance=True, tags=by_label, definition=definition(dpd, mob)
+    )
 
 
 def load_bronze(
@@ -45,43 +97,38 @@ def load_bronze(
 
     Sources whose files are ``in_month_order`` need no shuffle: each task reads few months.
     """
-    _together(
-        [
-            lambda table=table, rows=rows: lake.write(rows, "bronze", table, months, rebalance=not in_month_order)
-            for table, rows in sources.items()
-        ]
-    )
-    lake.record("bronze", {table: months for table in sources})
+    if months:
+        lake.publish(*together(
+            [lambda t=t, rows=rows: stage_bronze(lake, t, rows, months, in_month_order) for t, rows in sources.items()]
+        ))
 
 
 def build_silver(lake: Lake, months: list[date]) -> None:
-    """Clean rows. Bronze files hold one month each, so a task writes few months and nothing is shuffled."""
+    """Clean rows of the months whose bronze rows were loaded."""
     ready = lake.processed_months("bronze", list(CLEANERS), months)
+    tables = [table for table in CLEANERS if ready[table]]
+    lake.publish(*together([lambda t=t: stage_silver(lake, t, ready[t]) for t in tables]))
 
-    def write(table: str) -> None:
-        rows = CLEANERS[table](lake.read("bronze", table, ready[table]))
-        lake.write(rows, "silver", table, ready[table], sort_by=SILVER_ORDER.get(table))
 
-    _together([lambda table=table: write(table) for table in CLEANERS])
-    lake.record("silver", ready)
+def feature_months(lake: Lake, months: list[date]) -> list[date]:
+    """Those of the given months for which all customer tables were processed."""
+    done = lake.processed_months("silver", CUSTOMER_TABLES, months)
+    return sorted(set.intersection(*[set(given) for given in done.values()]))
 
 
 def build_features(lake: Lake, months: list[date], policy: SkewPolicy = DEFAULT_POLICY) -> list[date]:
     """Feature store of the months for which all customer tables were processed; returns those months."""
-    done = lake.processed_months("silver", CUSTOMER_TABLES, months)
-    ready = sorted(set.intersection(*[set(given) for given in done.values()]))
-    tables = {table: lake.read("silver", table, ready) for table in ["loans", *CUSTOMER_TABLES]}
-    lake.write(gold.feature_store(**tables, policy=policy), "gold", "feature_store", ready, rebalance=True)
-    lake.record("gold", {"feature_store": ready})
+    ready = feature_months(lake, months)
+    if ready:
+        lake.publish(stage_features(lake, ready, policy))
     return ready
 
 
 def build_labels(lake: Lake, months: list[date], dpd: int = LABEL_DPD, mob: int = LABEL_MOB) -> list[date]:
     """Label store of the months whose loans were processed; returns those months."""
     ready = lake.processed_months("silver", ["loans"], months)["loans"]
-    loans = lake.read("silver", "loans", ready)
-    lake.write(gold.label_store(loans, dpd, mob), "gold", "label_store", ready, rebalance=True)
-    lake.record("gold", {"label_store": ready})
+    if ready:
+        lake.publish(stage_labels(lake, ready, dpd, mob))
     return ready
 
 

@@ -1,18 +1,26 @@
-"""Tables of the three layers as parquet, partitioned by snapshot month."""
+"""Tables of the three layers as parquet, partitioned by snapshot month.
 
+A write goes to a folder of its own, its version, which no reader knows. One record in the log of processed months then
+publishes all months of a step: readers find the version of each month in the log, so they see all of a step or nothing
+of it, and a run that is killed between two writes leaves the months as they were. ``Lake.vacuum`` deletes what no month
+uses any more.
+"""
+
+import uuid
 import warnings
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, LongType, MapType, StringType, StructField, StructType, TimestampType
 
 from loanlake.schemas import SNAPSHOT, TABLES
+from loanlake.sources.tally import Tally
 
-# Log of processed months: one row per run, table and month, months without rows included.
+# Log of processed months: one row per run, table and month, months without rows included. A row without a month holds
+# the counts of rows that belong to none.
 PROCESSED = StructType(
     [
         StructField("layer", StringType()),
@@ -20,8 +28,14 @@ PROCESSED = StructType(
         StructField(SNAPSHOT, DateType()),
         StructField("n_rows", LongType()),
         StructField("noted_at", TimestampType()),
+        StructField("version", StringType()),  # the folder of the month; NULL below the table's own
+        StructField("definition", StringType()),  # what the rows depend on besides the tables below
+        StructField("fingerprint", StringType()),  # of the rows, if it is known
+        StructField("changed_at", TimestampType()),  # when the rows became what they are
+        StructField("counts", MapType(StringType(), LongType())),  # rows by stage, as counted by the write
     ]
 )
+OUTPUT = "output"
 
 
 def of_months(months: list[date]) -> Column:
@@ -29,9 +43,23 @@ def of_months(months: list[date]) -> Column:
     return F.col(SNAPSHOT).isin(months)
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Months of a table that are written and that no reader sees yet."""
+
+    layer: str
+    table: str
+    months: list[date]
+    version: str
+    counts: dict[str, dict[date | None, int] | None]
+    definition: str = ""
+    fingerprints: dict[date, str] = field(default_factory=dict)
+    replaced: dict[date, str] = field(default_factory=dict)  # fingerprints of the months as they are published
+
+
 @dataclass(frozen=True)
 class Lake:
-    """A folder of tables ``<root>/<layer>/<table>/snapshot_date=yyyy-MM-dd/``."""
+    """A folder of tables ``<root>/<layer>/<table>/_versions/version=<id>/snapshot_date=yyyy-MM-dd/``."""
 
     spark: SparkSession
     root: str
@@ -40,12 +68,40 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def _versions(self, layer: str, table: str) -> str:
+        return f"{self.path(layer, table)}/_versions"
+
     def read(self, layer: str, table: str, months: list[date] | None = None) -> DataFrame:
-        """A table with its declared schema, of all or of some months. A table never written reads as empty."""
-        df = read_table(self.spark, self.path(layer, table), self.schemas[layer][table])
-        return df if months is None else df.where(of_months(months))
+        """A table with its declared schema, of all or of some months, as published. One never written reads as empty.
 
-    def write(
+        A table that the log doesn't know is read from its own folder, as are months logged without a version.
+        """
+        known = [row for row in self._published(layer, table) if row[SNAPSHOT] is not None]
+        schema, own = self.schemas[layer][table], self.path(layer, table)
+        if not known:
+            df = read_table(self.spark, own, schema)
+            return df if months is None else df.where(of_months(months))
+        wanted = [row for row in known if row["n_rows"] and (months is None or row[SNAPSHOT] in months)]
+        plain = [row[SNAPSHOT] for row in wanted if row["version"] is None]
+        parts = [read_table(self.spark, own, schema).where(of_months(plain))] if plain else []
+        versioned = self._read_versions(layer, table, [row for row in wanted if row["version"] is not None])
+        if versioned is not None:
+            parts.append(versioned)
+        return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], schema)
+
+    def _read_versions(self, layer: str, table: str, rows: list[Row]) -> DataFrame | None:
+        by_version: dict[str, list[date]] = {}
+        for row in rows:
+            by_version.setdefault(row["version"], []).append(row[SNAPSHOT])
+        if not by_version:
+            return None
+        folder, schema = self._versions(layer, table), self.schemas[layer][table]
+        files = self.spark.read.schema(StructType([*schema.fields, StructField("version", StringType())]))
+        df = files.option("basePath", folder).parquet(*[f"{folder}/version={v}" for v in by_version])
+        only = [(F.col("version") == v) & of_months(months) for v, months in by_version.items()]
+        return df.where(reduce(Column.__or__, only)).select(*schema.names)
+
+    def stage(
         self,
         df: DataFrame,
         layer: str,
@@ -53,62 +109,96 @@ class Lake:
         months: list[date],
         rebalance: bool = False,
         sort_by: list[str] | None = None,
-    ) -> None:
-        """Replace the given months, in ascending order, by the rows ``df`` has of them; other months stay.
+        tallies: dict[str, Tally] | None = None,
+        tags: Tally | None = None,
+        definition: str = "",
+    ) -> Staged:
+        """Write the rows that ``df`` has of the given months where no reader looks; see :meth:`publish`.
 
         ``rebalance`` shuffles by month first, for rows that come in no month order: without it each task would leave
         a small file in every month. Adaptive execution splits a large month over many tasks and merges small ones.
         ``sort_by`` sorts rows within each file, so that scans that filter on these columns skip most of it.
+        ``tallies`` count rows on their way through ``df``, by stage; ``tags`` counts the output by its tags.
         """
-        if not months:
-            return
-        schema = self.schemas[layer][table]
-        before = self._newest_files(layer, table, months)
-        rows = df.where(of_months(months)).select(*schema.names)
-        write_partitioned(rows, self.path(layer, table), rebalance, sort_by)
-        if not before:
-            return
-        # Months that had rows and have none now were not touched by the write: empty them.
-        after = self._newest_files(layer, table, months)
-        nothing = self.spark.createDataFrame([], schema).drop(SNAPSHOT).coalesce(1)
-        for month in [month for month, file in before.items() if after[month] == file]:
-            nothing.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={month}")
+        schema, version, output = self.schemas[layer][table], uuid.uuid4().hex, Tally()
+        rows = output.watch(df.where(of_months(months)).select(*schema.names))
+        rows = tags.watch(rows) if tags else rows
+        write_partitioned(rows, f"{self._versions(layer, table)}/version={version}", rebalance, sort_by)
+        counts: dict[str, dict[date | None, int] | None] = {}
+        for stage, tally in {**(tallies or {}), OUTPUT: output}.items():
+            found = tally.counts()
+            counts[stage] = None if found is None else {month: n for (month, _), n in found.items()}
+        for (month, tag), n in ((tags.counts() if tags else None) or {}).items():
+            counts.setdefault(tag, {})[month] = n
+        return Staged(layer, table, list(months), version, counts, definition)
+
+    def read_staged(self, staged: Staged) -> DataFrame:
+        """What was staged, before it is published."""
+        path = f"{self._versions(staged.layer, staged.table)}/version={staged.version}"
+        return read_table(self.spark, path, self.schemas[staged.layer][staged.table])
 
-    def _newest_files(self, layer: str, table: str, months: list[date]) -> dict[date, int]:
-        """A hash of one file name of each month that has rows. Each write gives its files new names.
+    def publish(self, *staged: Staged) -> None:
+        """Replace the staged months, in all tables at once, by what was staged; other months stay.
 
-        No column is read, and the largest hash, a number, is found without sorting.
+        The rows of each month are compared with the footers of the files. Where they differ, tasks were repeated: the
+        files are right, and what else the write has counted is unknown.
         """
-        written = find_table(self.spark, self.path(layer, table), self.schemas[layer][table])
-        if written is None:
-            return {}
-        largest = newest_files(written.where(of_months(months)))
-        return {row[SNAPSHOT]: row["file"] for row in largest.collect()}  # months, bounded by the calendar
-
-    def record(self, layer: str, months: dict[str, list[date]]) -> None:
-        """Note the given months of each table as processed, with their rows; counting reads file footers only."""
-        months = {table: given for table, given in months.items() if given}
-        if not months:
+        staged = tuple(s for s in staged if s.months)
+        if not staged:
             return
-        keys = ["table_name", SNAPSHOT]
-        parts = [
-            self.read(layer, table, given).select(F.lit(table).alias(keys[0]), SNAPSHOT)
-            for table, given in months.items()
-        ]
-        counts = reduce(DataFrame.unionAll, parts).groupBy(*keys).agg(F.count("*").alias("n"))
-        listed = [(table, month) for table, given in months.items() for month in given]
-        # Tables times months, at most a few thousand rows.
-        noted = (
-            self.spark.createDataFrame(listed, "table_name string, snapshot_date date")
-            .join(counts, keys, "left")
-            .select(
-                F.lit(layer).alias("layer"),
-                *keys,
-                F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"),
-                F.current_timestamp().alias("noted_at"),
-            )
+        found = self._written(staged)
+        before = {(s.layer, s.table): {r[SNAPSHOT]: r for r in self._published(s.layer, s.table)} for s in staged}
+        rows = []
+        for s in staged:
+            written = {month: found.get((s.layer, s.table, month), 0) for month in s.months}
+            output = s.counts[OUTPUT]
+            sure = output is not None and all(output.get(month, 0) == n for month, n in written.items())
+            counts = {stage: of for stage, of in s.counts.items() if sure and of is not None}
+            outside = {stage: sum(n for month, n in of.items() if month not in written) for stage, of in counts.items()}
+            for month, n in written.items():
+                old = before[s.layer, s.table].get(month)
+                print_ = s.fingerprints.get(month)
+                same = old is not None and print_ is not None and s.replaced.get(month, old["fingerprint"]) == print_
+                rows.append(
+                    (s.layer, s.table, month, n, s.version, s.definition, print_,
+                     old["changed_micros"] if same else None,
+                     {**{stage: of.get(month, 0) for stage, of in counts.items()}, OUTPUT: n})
+                )
+            if any(outside.values()):
+                rows.append((s.layer, s.table, None, 0, s.version, s.definition, None, None, outside))
+        kinds = "layer string, table_name string, snapshot_date date, n_rows long, version string, definition string, "
+        record = self.spark.createDataFrame(
+            rows, f"{kinds}fingerprint string, changed_micros long, counts map<string, long>"
+        )
+        now = F.current_timestamp()
+        record = record.withColumns(
+            {"noted_at": now, "changed_at": F.coalesce(F.timestamp_micros("changed_micros"), now)}
         )
-        noted.repartition(1).write.mode("append").parquet(self._log)
+        # One file, which appears when it is complete: this is the moment of publication.
+        record.select(*PROCESSED.names).coalesce(1).write.mode("append").parquet(self._log)
+
+    def _written(self, staged: tuple[Staged, ...]) -> dict[tuple[str, str, date], int]:
+        """Rows of each staged month, from file footers."""
+        parts = []
+        for s in staged:
+            rows = self.read_staged(s)
+            parts.append(rows.select(F.lit(s.layer).alias("layer"), F.lit(s.table).alias("table_name"), SNAPSHOT))
+        counts = reduce(DataFrame.unionAll, parts).groupBy("layer", "table_name", SNAPSHOT).agg(F.count("*").alias("n"))
+        # Tables times months, at most a few thousand rows.
+        return {(row["layer"], row["table_name"], row[SNAPSHOT]): row["n"] for row in counts.collect()}
+
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        months: list[date],
+        rebalance: bool = False,
+        sort_by: list[str] | None = None,
+    ) -> None:
+        """Replace the given months by the rows ``df`` has of them; other months stay."""
+        if months:
+            self.publish(self.stage(df, layer, table, months, rebalance, sort_by))
 
     def exists(self) -> bool:
         """Has anything been processed here?"""
@@ -118,10 +208,27 @@ class Lake:
     def _log(self) -> str:
         return f"{self.root.rstrip('/')}/processed"
 
+    def latest(self) -> DataFrame:
+        """The last record of each layer, table and month."""
+        log = read_table(self.spark, self._log, PROCESSED)
+        rest = [name for name in PROCESSED.names if name not in ("layer", "table_name", SNAPSHOT)]
+        last = log.groupBy("layer", "table_name", SNAPSHOT).agg(F.max_by(F.struct(*rest), "noted_at").alias("last"))
+        return last.select("layer", "table_name", SNAPSHOT, "last.*")
+
+    def _published(self, layer: str, table: str) -> list[Row]:
+        """The last record of each month of a table; times as microseconds."""
+        rows = self.latest().where((F.col("layer") == layer) & (F.col("table_name") == table))
+        times = {f"{c}_micros": F.unix_micros(F.coalesce(f"{c}_at", "noted_at")) for c in ("noted", "changed")}
+        return rows.withColumns(times).drop("counts", "noted_at", "changed_at").collect()  # bounded by the calendar
+
+    def months_of(self, layer: str, table: str) -> dict[date, Row]:
+        """The last record of each processed month: ``n_rows``, ``definition``, ``fingerprint``, ``noted_micros`` and
+        ``changed_micros``."""
+        return {row[SNAPSHOT]: row for row in self._published(layer, table) if row[SNAPSHOT] is not None}
+
     def processed(self) -> DataFrame:
         """Rows by layer, table and month of everything processed so far, as of the last run of each month."""
-        log = read_table(self.spark, self._log, PROCESSED)
-        return log.groupBy("layer", "table_name", SNAPSHOT).agg(F.max_by("n_rows", "noted_at").alias("n_rows"))
+        return self.latest().where(F.col(SNAPSHOT).isNotNull()).select("layer", "table_name", SNAPSHOT, "n_rows")
 
     def processed_months(self, layer: str, tables: list[str], months: list[date]) -> dict[str, list[date]]:
         """Those of the given months that have been processed, empty or not, for each table."""
@@ -129,6 +236,36 @@ class Lake:
         done = self.processed().where(wanted).select("table_name", SNAPSHOT).collect()  # at most tables times months
         return {table: sorted(row[SNAPSHOT] for row in done if row["table_name"] == table) for table in tables}
 
+    def vacuum(self, keep_hours: float = 24.0) -> list[str]:
+        """Delete the versions of months that no month uses any more; returns the deleted folders.
+
+        Versions younger than ``keep_hours`` stay: a reader may still read them, or a run be about to publish them.
+        """
+        used = {(r["layer"], r["table_name"], r["version"], r[SNAPSHOT]) for r in self.latest().drop("counts").collect()}
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        place = jvm.org.apache.hadoop.fs.Path
+        fs = place(self.root).getFileSystem(conf)
+        oldest = jvm.java.lang.System.currentTimeMillis() - int(keep_hours * 3_600_000)
+        deleted = []
+        for layer, tables in self.schemas.items():
+            for table in tables:
+                folder = place(self._versions(layer, table))
+                for version in fs.listStatus(folder) if fs.exists(folder) else []:
+                    name = version.getPath().getName().removeprefix("version=")
+                    if version.getModificationTime() > oldest:
+                        continue
+                    own = {m for lay, t, v, m in used if (lay, t, v) == (layer, table, name) and m is not None}
+                    gone = [
+                        month.getPath() for month in fs.listStatus(version.getPath())
+                        if month.getPath().getName().removeprefix(f"{SNAPSHOT}=") not in {str(m) for m in own}
+                    ] if own else [version.getPath()]
+                    for path in gone:
+                        if own and not path.getName().startswith(f"{SNAPSHOT}="):
+                            continue
+                        fs.delete(path, True)
+                        deleted.append(path.toString())
+        return deleted
+
 
 def newest_files(written: DataFrame) -> DataFrame:
     """``snapshot_date, file`` of a table that is read from files: the largest hash of a file name of each month."""
@@ -136,14 +273,29 @@ def newest_files(written: DataFrame) -> DataFrame:
     return files.groupBy(SNAPSHOT).agg(F.max("file").alias("file"))
 
 
+def fingerprints(df: DataFrame) -> DataFrame:
+    """``snapshot_date, fingerprint``: the number of rows and the sum of their hashes, whatever their order.
+
+    A hash leaves NULL out, so it is told which columns are NULL. Sums are of 128 bits and add up before the shuffle.
+    """
+    own = [name for name in df.columns if name != SNAPSHOT]
+    hashed = F.xxhash64(*own, *[F.col(name).isNull() for name in own]).cast("decimal(20,0)")
+    found = df.groupBy(SNAPSHOT).agg(F.count("*").alias("n"), F.sum(hashed).alias("total"))
+    return found.select(SNAPSHOT, F.concat_ws(":", "n", F.col("total").cast("string")).alias("fingerprint"))
+
+
+def month_fingerprints(df: DataFrame, months: list[date]) -> dict[date, str]:
+    """Of each of the given months; those without rows have one as well."""
+    found = fingerprints(df.where(of_months(months))).collect()  # months, bounded by the calendar
+    return {**dict.fromkeys(months, "0"), **{row[SNAPSHOT]: row["fingerprint"] for row in found}}
+
+
 def find_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A parquet table with a declared schema; None if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return None
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -201,6 +201,9 @@ def _with(select: str) -> str:
     return f"WITH {tables}\n{select}"
 
 
+_SLICE = "DATE '1996-03-01'"
+
+
 def _audit_part(stages: dict[str, str], source: str) -> str:
     return "\nUNION ALL ".join(
         f"""SELECT snapshot_date, '{stage.split('.')[0]}' AS layer, '{stage.split('.')[1]}' AS table_name,
@@ -311,6 +314,19 @@ FROM ({rows}) w WHERE n > 0"""
     CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM (VALUES {tables}) t(table_name)"""
 
 
+def _refreshed() -> str:
+    """Financials of one month have changed: their month is loaded, cleaned and joined again."""
+    tables = ["clickstream", "attributes", "financials", "loans"]
+    names = [(layer, table) for layer in ["bronze", "silver"] for table in tables]
+    names += [("gold", "feature_store"), ("gold", "label_store")]
+    values = ", ".join(f"('{layer}', '{table}')" for layer, table in names)
+    again = "table_name IN ('financials', 'feature_store')"
+    return f"""SELECT t.layer, t.table_name, m.snapshot_date,
+    CASE WHEN {again} AND m.snapshot_date = {_SLICE} THEN 'rebuilt' ELSE 'skipped' END AS action
+FROM (SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date), INTERVAL 1 MONTH)) AS DATE)
+    AS snapshot_date FROM raw_loans) m CROSS JOIN (VALUES {values}) t(layer, table_name)"""
+
+
 def _left_out() -> str:
     """Financials of the second month and loans of the third month are never processed."""
     months = "(SELECT DISTINCT snapshot_date, dense_rank() OVER (ORDER BY snapshot_date) AS nth FROM raw_loans)"
@@ -320,7 +336,6 @@ def _left_out() -> str:
     ) r(nth, layer, table_name, missing) ON r.nth = m.nth"""
 
 
-_SLICE = "DATE '1996-03-01'"
 _SELECTS = {
     "snapshot_calendar": """SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date),
     INTERVAL 1 MONTH)) AS DATE) AS snapshot_date FROM raw_loans""",
@@ -355,6 +370,12 @@ FROM silver_loans""",
 FROM gold_features UNION ALL
 SELECT 'label_store' AS table_name, count(*) AS n_rows, {len(_LABEL_SCHEMA)} AS n_columns FROM gold_labels""",
     "layer_row_audit": _audit(),
+    "lake_stage_counts": _audit(),
+    "lake_logged_label_distribution": "SELECT label, count(*) AS n FROM gold_labels GROUP BY label",
+    "lake_logged_profile": f"""SELECT 'feature_store' AS table_name, count(*) AS n_rows, {len(_FEATURE_SCHEMA)} AS n_columns
+FROM gold_features UNION ALL
+SELECT 'label_store' AS table_name, count(*) AS n_rows, {len(_LABEL_SCHEMA)} AS n_columns FROM gold_labels""",
+    "lake_refresh_actions": _refreshed(),
     "schema_report": f"""{_schema_rows('feature_store', 'gold_features', _FEATURE_SCHEMA)}
 UNION ALL {_schema_rows('label_store', 'gold_labels', _LABEL_SCHEMA)}""",
     "csv_scan_clickstream": "SELECT * FROM raw_clickstream",
