@@ -216,7 +216,9 @@ class Lake:
         return last.select("layer", "table_name", SNAPSHOT, "last.*")
 
     def _published(self, layer: str, table: str) -> list[Row]:
-        """The last record of each month of a table; times as microseconds."""
+        """The last record of each month of a table; times as microseconds. Without a log, no job runs."""
+        if not self.exists():
+            return []
         rows = self.latest().where((F.col("layer") == layer) & (F.col("table_name") == table))
         times = {f"{c}_micros": F.unix_micros(F.coalesce(f"{c}_at", "noted_at")) for c in ("noted", "changed")}
         return rows.withColumns(times).drop("counts", "noted_at", "changed_at").collect()  # bounded by the calendar
