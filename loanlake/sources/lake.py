@@ -64,6 +64,8 @@ class Lake:
     spark: SparkSession
     root: str
     schemas: dict[str, dict[str, StructType]] = field(default_factory=lambda: TABLES)
+    # The log as of its files when it was last read.
+    _seen: dict[frozenset, dict[tuple[str, str], list[Row]]] = field(default_factory=dict, repr=False, compare=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -210,18 +212,33 @@ class Lake:
 
     def latest(self) -> DataFrame:
         """The last record of each layer, table and month."""
-        log = read_table(self.spark, self._log, PROCESSED)
+        log = read_table(self.spark, self._log, PROCESSED).coalesce(1)  # few rows: one task, no shuffle
         rest = [name for name in PROCESSED.names if name not in ("layer", "table_name", SNAPSHOT)]
         last = log.groupBy("layer", "table_name", SNAPSHOT).agg(F.max_by(F.struct(*rest), "noted_at").alias("last"))
         return last.select("layer", "table_name", SNAPSHOT, "last.*")
 
     def _published(self, layer: str, table: str) -> list[Row]:
-        """The last record of each month of a table; times as microseconds. Without a log, no job runs."""
-        if not self.exists():
+        """The last record of each month of a table; times as microseconds. Without a log, no job runs.
+
+        The log is read again when a file was added to it.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(self._log)
+        fs = folder.getFileSystem(conf)
+        if not fs.exists(folder):
             return []
-        rows = self.latest().where((F.col("layer") == layer) & (F.col("table_name") == table))
-        times = {f"{c}_micros": F.unix_micros(F.coalesce(f"{c}_at", "noted_at")) for c in ("noted", "changed")}
-        return rows.withColumns(times).drop("counts", "noted_at", "changed_at").collect()  # bounded by the calendar
+        files = frozenset(file.getPath().getName() for file in fs.listStatus(folder))
+        seen = self._seen.get(files)
+        if seen is None:
+            times = {f"{c}_micros": F.unix_micros(F.coalesce(f"{c}_at", "noted_at")) for c in ("noted", "changed")}
+            rows = self.latest().withColumns(times).drop("counts", "noted_at", "changed_at").coalesce(1)
+            found: dict[tuple[str, str], list[Row]] = {}
+            for row in rows.collect():  # tables times months, bounded by the calendar
+                found.setdefault((row["layer"], row["table_name"]), []).append(row)
+            self._seen.clear()
+            self._seen[files] = found
+            return found.get((layer, table), [])
+        return seen.get((layer, table), [])
 
     def months_of(self, layer: str, table: str) -> dict[date, Row]:
         """The last record of each processed month: ``n_rows``, ``definition``, ``fingerprint``, ``noted_micros`` and
