@@ -96,6 +96,14 @@ def _csv_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_source(spark, path, s.BRONZE["clickstream"])
 
 
+def _csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes with line breaks, quotes and commas in their names, written as CSV and read by many tasks a file."""
+    path = f"{scratch_root(spark)}/attributes"
+    rows = _bronze(spark, sf_dir, "attributes").withColumn("Name", F.concat("Name", F.lit('\n"x", y')))
+    csv.write_csv(rows, path, multi_line=True)
+    return csv.read_source(spark, path, s.BRONZE["attributes"], multi_line=True)
+
+
 def _silver_table(table: str) -> Query:
     return lambda spark, sf_dir: _silver(spark, sf_dir, table)
 
@@ -323,6 +331,7 @@ def pipeline_queries() -> dict[str, Query]:
         "csv_scan_attributes": _csv_scan("attributes"),
         "csv_scan_loans": _csv_scan("loans"),
         "csv_by_month": _csv_by_month,
+        "csv_multi_line_scan": _csv_multi_line,
         "csv_roundtrip_scan": _csv_scan("financials"),
         "partition_pruned_scan": _pruned_scan,
         "multi_partition_scan": _multi_scan,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, NumericType, StringType, StructField, StructType
 
 from loanlake import schemas as s
+from loanlake.sources.quoted import parsed_records, quoted_records
 
 # File names of the four sources.
 SOURCE_FILES = {
@@ -15,9 +16,9 @@ SOURCE_FILES = {
 }
 
 
-def read_text(spark: SparkSession, *paths: str) -> DataFrame:
+def read_text(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """All columns as text, named by the header. Blank and quoted empty fields are NULL."""
-    return spark.read.option("header", True).csv(list(paths))
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(list(paths))
 
 
 def read_source(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
@@ -25,12 +26,13 @@ def read_source(spark: SparkSession, path: str, schema: StructType, multi_line:
 
     One line is read to learn the header, there is no pass over the data. All parts must have that header: reading a
     part with the columns in another order fails, so no value gets into another column. Quotes in quoted text are
-    doubled. ``multi_line`` allows line breaks in quoted text, at the price of one task per file.
+    doubled. ``multi_line`` allows line breaks in quoted text; records are then put together from lines, many tasks to
+    a file, and the lines are written once in between.
 
     Numbers are parsed by the reader, whole ones by way of double so that ``5.0`` is accepted for 5. A number that is
     not whole or too large for such a column fails the read; it is never cut.
     """
-    header = read_text(spark, path).columns
+    header = read_text(spark, path, multi_line=multi_line).columns
     missing = [field.name for field in schema if field.name not in header]
     if missing:
         raise ValueError(f"columns missing from the source: {', '.join(missing)}")
@@ -38,8 +40,11 @@ def read_source(spark: SparkSession, path: str, schema: StructType, multi_line:
     parsed = StructType(
         [StructField(name, DoubleType() if name in numbers else StringType()) for name in header]
     )
-    options = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": multi_line}
-    raw = spark.read.schema(parsed).options(**options).csv(path)
+    if multi_line:
+        names = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in parsed)
+        raw = parsed_records(quoted_records(spark, path), header, names, {"escape": '"', "multiLine": "true"})
+    else:
+        raw = spark.read.schema(parsed).options(header=True, enforceSchema=False, escape='"').csv(path)
     return raw.select(*[_typed(F.col(field.name), field).alias(field.name) for field in schema])
 
 
@@ -69,15 +74,16 @@ def _one_line(name: str) -> Column:
     return F.when(c.contains("\n") | c.contains("\r"), refused.cast("string")).otherwise(c)
 
 
-def write_csv(df: DataFrame, path: str, by_month: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, by_month: bool = False, multi_line: bool = False) -> None:
     """CSV parts with a header that :func:`read_source` reads back unchanged, blanks around values included.
 
     ``by_month`` makes a folder of each month, of which other months stay when one is written again. Empty text is
-    written like NULL, as a CSV source cannot tell them apart. Text with line breaks fails the write, since the
-    reader splits files at line ends.
+    written like NULL, as a CSV source cannot tell them apart. Text with line breaks fails the write, since readers
+    split files at line ends, unless ``multi_line`` says that they don't.
     """
     texts = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
-    df = df.withColumns({name: _one_line(name) for name in texts})
+    if not multi_line:
+        df = df.withColumns({name: _one_line(name) for name in texts})
     writer = df.write.mode("overwrite").options(
         header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )

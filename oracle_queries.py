@@ -382,6 +382,8 @@ UNION ALL {_schema_rows('label_store', 'gold_labels', _LABEL_SCHEMA)}""",
     "csv_scan_attributes": "SELECT * FROM raw_attributes",
     "csv_scan_loans": "SELECT * FROM raw_loans",
     "csv_by_month": "SELECT * FROM raw_clickstream",
+    "csv_multi_line_scan": """SELECT Customer_ID, snapshot_date, Name || chr(10) || '"x", y' AS Name, Age, SSN, Occupation
+FROM raw_attributes""",
     "csv_roundtrip_scan": "SELECT * FROM raw_financials",
     "partition_pruned_scan": f"SELECT * FROM silver_loans WHERE snapshot_date = {_SLICE}",
     "multi_partition_scan": "SELECT * FROM gold_labels",
