@@ -1,21 +1,14 @@
-"""Quality rules: counts of a text, and its perplexity under modified Kneser-Ney models of the corpus.
+"""Quality rules: counts of a text, and its perplexity under a modified Kneser-Ney model of its language.
 
-One model is of word runs and per language; it grows with the corpus and is described in ``word_model``. It has an upper
-band only: a text that other texts foretell is one that they repeat, which is for deduplication to judge.
-
-The other is one of runs of four characters, which tells how words are spelt. Characters are folded to ``SYMBOLS`` symbols, so that a corpus of any
-size has at most ``SYMBOLS ** 4`` different runs: tasks count them in an array of that size, Spark adds the arrays up,
-and the model, sorted arrays of run codes and probabilities per order, fits every executor. Counts cover all texts.
-
-Each language has a lower and an upper band of the second perplexity around the median of its own texts, and an upper
-one of the first; texts outside are rejected.
+The model is described in ``kneser_ney``. Each language has a lower and an upper band of perplexity around the median of
+its own texts; texts outside are rejected: above, what other texts of the language are not written like; below, what they
+say over and over.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; it has no perplexity. A NULL language is a
 language of its own. Repeated rows are judged each. Extra columns are ignored. An empty table gives no rows.
 """
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,135 +16,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlake.llm import kneser_ney
 from loanlake.llm.stash import Stash
-from loanlake.llm.word_model import language_key, log_perplexities
 from loanlake.llm.words import Words, mix, shingles, slices, split_words, text_bytes
 
-ORDER = 4
-#: Text edge, white space, a-z, digit, punctuation, other ASCII, and eight for the bytes of other characters.
-SYMBOLS = 39
 #: Rejected rows are broadcast up to this count; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-_EDGE, _SPACE, _A, _DIGIT, _MARK, _OTHER, _REST = 0, 1, 2, 28, 29, 30, 31
 _SPACES = np.array([0x20, *range(0x09, 0x0E)])
 
-_FOLD = np.full(256, _OTHER, np.int32)
-_FOLD[_SPACES] = _SPACE
-for _letters in (b"a", b"A"):
-    _FOLD[_letters[0] : _letters[0] + 26] = np.arange(_A, _A + 26)
-_FOLD[ord("0") : ord("9") + 1] = _DIGIT
-_FOLD[list(b".,;:!?'\"()-")] = _MARK
-_FOLD[128:] = _REST + np.arange(128) % 8
-
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _CHARACTER = (np.arange(256) & 0xC0) != 0x80  # bytes that start a character
 _CHARACTER[_SPACES] = False
 
 
-def _codes(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The code of the run that ends at each byte, and the first run of each text. Edges go before each text."""
-    lead = ORDER - 1
-    sizes = np.diff(first)
-    stream = np.full(len(data) + lead * len(sizes), _EDGE, np.int32)
-    where = np.arange(len(data)) + lead * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-    stream[where] = _FOLD[data]
-    codes = stream[where]
-    for back in range(1, ORDER):
-        codes = codes + stream[where - back] * np.int32(SYMBOLS**back)
-    return codes, first
-
-
-def count_runs(docs: DataFrame) -> DataFrame:
-    """``code, n`` of all runs in all texts; each task sends a row per run it has seen."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SYMBOLS**ORDER, np.int64)
-        for batch in slices(batches, "text"):
-            counts += np.bincount(_codes(*text_bytes(batch.column("text")))[0], minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen])], ["code", "n"])
-
-    partial = docs.select("text").mapInArrow(count, "code long, n long")
-    return partial.groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off counts of 0, 1, 2 and 3 or more, from how many runs have counts of 1 to 4.
-
-    At least a tenth, so that runs never seen have some probability."""
-    n = [float((counts == k).sum()) for k in range(1, 5)]
-    if min(n) == 0:
-        return np.array([0.0, 0.5, 1.0, 1.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    off = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
-    return np.array([0.0, *(min(max(x, 0.1), k) for k, x in zip((1, 2, 3), off, strict=True))])
-
-
-@dataclass
-class KneserNey:
-    """For each order from 1 to 4, the sorted codes of runs with their probabilities, and of contexts with the
-    weight they leave to the next lower order."""
-
-    runs: list[np.ndarray]
-    probabilities: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
-
-    @classmethod
-    def fit(cls, codes: np.ndarray, counts: np.ndarray) -> "KneserNey":
-        """From the sorted codes and the counts of runs of the highest order; lower orders count distinct runs."""
-        keys, values = [codes], [counts.astype(np.float64)]
-        for order in range(ORDER - 1, 0, -1):
-            found, n = np.unique(keys[0] % SYMBOLS**order, return_counts=True)
-            keys.insert(0, found)
-            values.insert(0, n.astype(np.float64))
-        model = cls([], [], [], [])
-        for order, (key, value) in enumerate(zip(keys, values, strict=True), 1):
-            off = _discounts(value)[np.minimum(value, 3).astype(int)]
-            context, at = np.unique(key // SYMBOLS, return_inverse=True)
-            total = np.bincount(at, value)
-            weight = np.bincount(at, off) / total
-            if order == 1:
-                lower = np.full(len(key), 1 / SYMBOLS)
-            else:
-                lower = model.probability(key % SYMBOLS ** (order - 1), order - 1)
-            model.runs.append(key)
-            model.probabilities.append((value - off) / total[at] + weight[at] * lower)
-            model.contexts.append(context)
-            model.weights.append(weight)
-        return model
-
-    def probability(self, codes: np.ndarray, order: int) -> np.ndarray:
-        """Of the last symbol of each run after the others; runs never seen back off to shorter ones."""
-        if order == 0:
-            return np.full(len(codes), 1 / SYMBOLS)
-        key, at = self.runs[order - 1], np.searchsorted(self.runs[order - 1], codes)
-        found = key[np.minimum(at, len(key) - 1)] == codes
-        out = np.empty(len(codes))
-        out[found] = self.probabilities[order - 1][at[found]]
-        rest = codes[~found]
-        context = self.contexts[order - 1]
-        place = np.minimum(np.searchsorted(context, rest // SYMBOLS), len(context) - 1)
-        weight = np.where(context[place] == rest // SYMBOLS, self.weights[order - 1][place], 1.0)
-        out[~found] = weight * self.probability(rest % SYMBOLS ** (order - 1), order - 1)
-        return out
-
-    def log_table(self) -> np.ndarray:
-        """Natural logarithms for all runs, seen or not."""
-        return np.log(self.probability(np.arange(SYMBOLS**ORDER), ORDER)).astype(np.float32)
-
-
-def fit_model(docs: DataFrame) -> KneserNey | None:
-    """The model of all texts; None if there are none. At most ``SYMBOLS ** 4`` rows, 37 MB, reach the driver."""
-    counts = count_runs(docs).toArrow().combine_chunks()
-    if not counts.num_rows:
-        return None
-    codes, n = (counts.column(c).to_numpy() for c in ("code", "n"))
-    order = np.argsort(codes)
-    return KneserNey.fit(codes[order], n[order])
-
-
 def _per_text(marks: np.ndarray, first: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(marks)])
     return sums[first[1:]] - sums[first[:-1]]
@@ -187,17 +65,16 @@ def _duplicate_lines(column: pa.Array) -> list[int]:
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def score(docs: DataFrame, model: KneserNey | None) -> DataFrame:
+def score(docs: DataFrame, model: DataFrame, broadcast_runs: int) -> DataFrame:
     """``doc_id, lang, text_hash``, the counts, and ``log_perplexity``, the mean over the bytes of a text."""
-    table = docs.sparkSession.sparkContext.broadcast(model.log_table() if model else np.zeros(SYMBOLS**ORDER))
+    sent = model.count() <= broadcast_runs
+    table = docs.sparkSession.sparkContext.broadcast(kneser_ney.SortedRuns(model)) if sent else None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             text = batch.column("text")
             words = split_words(text, fold=False)
             data, first = text_bytes(text)
-            sizes = np.diff(first)
-            log = _per_text(table.value[_codes(data, first)[0]].astype(np.float64), first)
             counts = [
                 np.diff(words.first),
                 _per_text(_CHARACTER[data], first),
@@ -205,19 +82,27 @@ def score(docs: DataFrame, model: KneserNey | None) -> DataFrame:
                 _duplicate_lines(text),
                 _repeated_words(words),
             ]
+            log = np.full(len(counts[0]), np.nan)
+            if table:
+                log = table.value.log_perplexities(text, batch.column("lang_key").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "lang", "text_hash")]
+                [batch.column(c) for c in ("doc_id", "lang", "lang_key", "text_hash")]
                 + [pa.array(c, pa.int64()) for c in counts]
-                + [pa.array(-log / np.maximum(sizes, 1), mask=sizes == 0)],
-                ["doc_id", "lang", "text_hash", *COUNTS, "log_perplexity"],
+                + [pa.array(log, mask=np.isnan(log))],
+                ["doc_id", "lang", "lang_key", "text_hash", *COUNTS, "log_perplexity"],
             )
 
     wanted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        F.xxhash64("text").alias("text_hash"), "text",
+        kneser_ney.language_key(), F.xxhash64("text").alias("text_hash"), "text",
     )
     kinds = ", ".join(f"{c} long" for c in COUNTS)
-    return wanted.mapInArrow(rows, f"doc_id long, lang string, text_hash long, {kinds}, log_perplexity double")
+    schema = f"doc_id long, lang string, lang_key long, text_hash long, {kinds}, log_perplexity double"
+    scored = wanted.mapInArrow(rows, schema)
+    if not sent:
+        logs = kneser_ney.joined_log_perplexities(docs, model)
+        scored = scored.drop("log_perplexity").join(logs, ["text_hash", "lang_key"], "left")
+    return scored.drop("lang_key")
 
 
 def base_failed(min_words: int = 50, most_repeated: int = 50) -> Column:
@@ -230,12 +115,13 @@ def _short_text_factor(steady: int) -> Column:
     return F.sqrt(1 + steady / F.greatest(F.col("word_chars"), F.lit(1)))
 
 
-def bands(scored: DataFrame, least_spread: float, steady: int, column: str = "log_perplexity") -> DataFrame:
-    """``_lang, middle, spread`` of ``column``: the median of a language's texts and how far texts are from it.
+def bands(scored: DataFrame, least_spread: float, steady: int) -> DataFrame:
+    """``_lang, middle, spread``: the median log perplexity of a language's texts and how far texts are from it.
 
     The spread is the median distance from the median, scaled as for a normal distribution. Both medians are merged
     from sketches of all texts of a language, so a language with most texts is no single task's work.
     """
+    column = "log_perplexity"
     judged = scored.where(~F.col("base_failed") & F.col(column).isNotNull())
     middle = judged.groupBy("lang").agg(F.percentile_approx(column, 0.5, 10_000).alias("middle"))
     middle = middle.select(F.col("lang").alias("_lang"), "middle")
@@ -246,39 +132,34 @@ def bands(scored: DataFrame, least_spread: float, steady: int, column: str = "lo
     return far.select("_lang", "middle", F.greatest(F.lit(least_spread), F.col("distance") / 0.6745).alias("spread"))
 
 
-def judge(docs: DataFrame, width: float = 5.0, least_spread: float = 0.01, steady: int = 1000) -> DataFrame:
-    """Every text's ``doc_id, lang, text_hash``, counts, ``base_failed``, ``perplexity``, its bands, ``word_perplexity``,
-    its upper band and ``kept``.
+def judge(
+    docs: DataFrame,
+    width: float = 5.0,
+    least_spread: float = 0.01,
+    steady: int = 1000,
+    broadcast_runs: int = kneser_ney.BROADCAST_RUNS,
+) -> DataFrame:
+    """Every text's ``doc_id``, counts, ``base_failed`` and ``kept``, then ``lang, text_hash``, its perplexity and the
+    bands that apply to it.
 
     The bands lie ``width`` spreads of the language below and above its median. They are wider for short texts, by a
     half at about ``steady`` characters.
     """
     stash = Stash(docs.sparkSession)
-    of_words = stash.keep(log_perplexities(docs, stash), "word_scores")
-    scored = score(docs, fit_model(docs)).withColumns({"base_failed": base_failed(), "lang_key": language_key()})
-    scored = stash.keep(scored.join(of_words, ["text_hash", "lang_key"], "left").drop("lang_key"), "scored")
+    model = kneser_ney.fit(docs, stash)
+    stash.keep_only(model)
+    scored = stash.keep(score(docs, model, broadcast_runs).withColumn("base_failed", base_failed()), "scored")
     limits = stash.keep(bands(scored, least_spread, steady), "bands")
-    word_limits = stash.keep(
-        bands(scored, least_spread, steady, "word_log_perplexity").toDF("_word_lang", "word_middle", "word_spread"),
-        "word_bands",
+    stash.keep_only(scored, limits)
+    far = width * _short_text_factor(steady) * F.col("spread")
+    judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumns(
+        {"lower": F.col("middle") - far, "upper": F.col("middle") + far}
     )
-    stash.keep_only(scored, limits, word_limits)
-    far = width * _short_text_factor(steady)
-    judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(
-        word_limits, F.col("lang").eqNullSafe(F.col("_word_lang")), "left"
-    ).withColumns({
-        "lower": F.col("middle") - far * F.col("spread"), "upper": F.col("middle") + far * F.col("spread"),
-        "word_upper": F.col("word_middle") + far * F.col("word_spread"),
-    })
     inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(True))
-    inside = inside & F.coalesce(F.col("word_log_perplexity") <= F.col("word_upper"), F.lit(True))
     return judged.select(
-        "doc_id", "lang", "text_hash", *COUNTS, "base_failed",
+        "doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "lang", "text_hash",
         F.exp("log_perplexity").alias("perplexity"),
         F.exp("lower").alias("lowest_perplexity"), F.exp("upper").alias("highest_perplexity"),
-        F.exp("word_log_perplexity").alias("word_perplexity"),
-        F.exp("word_upper").alias("highest_word_perplexity"),
-        (~F.col("base_failed") & inside).alias("kept"),
     )
 
 

@@ -73,7 +73,7 @@ def association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
-    return judged.drop("text_hash")
+    return judged.drop("text_hash", "lang")
 
 
 def suffix_automaton_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
