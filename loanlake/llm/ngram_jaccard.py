@@ -307,10 +307,11 @@ def _linked(docs: DataFrame, threshold: float, tolerance: float = 1e-6) -> DataF
 def keep_one_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` with one row of each class: of the texts with the least id that with the least hash, once.
 
-    Rows without an id or without words stay.
+    Rows without words stay. Rows without an id are classed like all others, as if they had the largest id.
     """
     stash = Stash(docs.sparkSession)
-    texts = _linked(docs, threshold).where("component IS NOT NULL").groupBy("component", "doc_id", "text_hash")
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc_id")
+    texts = _linked(docs.select(number, "text"), threshold).where("component IS NOT NULL").groupBy("component", "doc_id", "text_hash")
     texts = stash.keep(texts.agg(F.count("*").alias("n")), "texts")
     one = texts.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
     judged = texts.join(one, "component").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("one"))
@@ -318,8 +319,7 @@ def keep_one_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "stays"
     )
     drop = stash.keep(drop, "dropped")
-    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
-    rows = docs.select(F.struct("*").alias("row"), *own)
+    rows = docs.select(F.struct("*").alias("row"), number, F.xxhash64("text").alias("text_hash"))
 
     def matched(keys: DataFrame, how: str) -> DataFrame:
         same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))

@@ -113,5 +113,31 @@ def test_pipeline(spark, sf_dir, database, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, found))
 
 
+EDGES = {
+    # Which ids a stage keeps of the edge rows, whatever the rows' other columns.
+    "quality_rules": lambda i: i in (None, 4, 5, 6, 10, 11, 12, 13, 14, 15, 16),
+    "repeated_lines": lambda i: True,
+    "near_duplicates": lambda i: i not in (5, 6, 9, 12, 13, 14, 15),
+    "benchmark_passages": lambda i: True,
+}
+
+
+@pytest.mark.parametrize("name", EDGES)
+def test_stages_on_edge_rows(spark, edges, nothing, sf_dir, name):
+    """NULL ids and texts, empty and long texts, repeated rows, clashing columns, and an empty table."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    kept = stage(spark, edges, sf_dir)
+    assert kept.columns == edges.columns
+    assert {r["doc_id"] for r in kept.collect()} <= {r["doc_id"] for r in edges.collect() if EDGES[name](r["doc_id"])}
+    assert stage(spark, nothing, sf_dir).count() == 0
+
+
+def test_last_stage_on_edge_rows(spark, edges, nothing, sf_dir):
+    pack = corpus_pipeline.STAGES[-1][1]
+    rows = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    check_packing(rows, pack(spark, edges, sf_dir).collect(), 2048)
+    assert pack(spark, nothing, sf_dir).count() == 0
+
+
 def test_tokenizer_is_not_copied():
     assert queries.TOKENIZER == public_tokenizers.path("word_bpe_49k.json")
