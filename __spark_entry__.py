@@ -14,12 +14,13 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loanlake import schemas as s
 from loanlake.functions.calendar import month_starts, snapshot_calendar
-from loanlake.operators import audit, gold, silver
+from loanlake.operators import audit, gold, schema_check, silver
 from loanlake.operators.joins import SkewPolicy
 from loanlake.plans import backfill, refresh
 from loanlake.sources import csv, orders_feed
@@ -104,6 +105,14 @@ def _csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_source(spark, path, s.BRONZE["attributes"], multi_line=True)
 
 
+def _schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The financial source as CSV text, held against the types of its clean values."""
+    path = f"{scratch_root(spark)}/financials"
+    csv.write_csv(_bronze(spark, sf_dir, "financials"), path)
+    clean = [field for field in s.SILVER["financials"] if field.name in s.BRONZE["financials"].names]
+    return schema_check.schema_drift(csv.read_text(spark, path), StructType(clean))
+
+
 def _silver_table(table: str) -> Query:
     return lambda spark, sf_dir: _silver(spark, sf_dir, table)
 
@@ -331,6 +340,7 @@ def pipeline_queries() -> dict[str, Query]:
         "csv_scan_attributes": _csv_scan("attributes"),
         "csv_scan_loans": _csv_scan("loans"),
         "csv_by_month": _csv_by_month,
+        "csv_schema_drift": _schema_drift,
         "csv_multi_line_scan": _csv_multi_line,
         "csv_roundtrip_scan": _csv_scan("financials"),
         "partition_pruned_scan": _pruned_scan,

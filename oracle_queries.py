@@ -15,6 +15,7 @@ _FINANCIAL_FEATURES = [
     "Outstanding_Debt", "Credit_Utilization_Ratio", "Credit_History_Age_Years", "Payment_of_Min_Amount",
     "Total_EMI_per_month", "Amount_invested_monthly", "Payment_Behaviour", "Monthly_Balance",
 ]
+_FINANCIAL_TEXTS = ["Type_of_Loan", "Credit_Mix", "Credit_History_Age", "Payment_of_Min_Amount", "Payment_Behaviour"]
 _TEXT_FEATURES = ["Occupation", "Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]
 
 _ID = """CASE WHEN c % 499 = 8 THEN '   ' WHEN c % 7 = 0 THEN ' cus_' || CAST(c AS VARCHAR) || ' ' WHEN c % 101 = 0 THEN NULL
@@ -336,6 +337,33 @@ def _left_out() -> str:
     ) r(nth, layer, table_name, missing) ON r.nth = m.nth"""
 
 
+def _drift() -> str:
+    """Kinds of all values of the financial source. An empty text is written like NULL."""
+    kinds = {"Customer_ID": "string", "snapshot_date": "date"}
+    kinds |= {name: _kind(name) for name in _MONEY + _DECIMALS + _WHOLE + _BLANKABLE}
+    kinds |= {name: "string" for name in _FINANCIAL_TEXTS}
+    fitting = {"string": "true", "date": "kind IN ('missing', 'date')", "int": "kind IN ('missing', 'int')"}
+    fitting["float"] = "kind IN ('missing', 'int', 'bigint', 'double')"
+    parts = [
+        f"SELECT '{name}' AS column_name, '{kind}' AS declared, CAST({name} AS VARCHAR) AS x FROM raw_financials"
+        for name, kind in kinds.items()
+    ]
+    fits = " ".join(f"WHEN '{kind}' THEN {test}" for kind, test in fitting.items())
+    return f"""SELECT column_name, declared, sum(CAST(kind <> 'missing' AS BIGINT))::BIGINT AS n_values,
+    sum(CAST(kind = 'missing' AS BIGINT))::BIGINT AS n_missing,
+    sum(CASE WHEN CASE declared {fits} END THEN 0 ELSE 1 END)::BIGINT AS n_misfits,
+    CASE WHEN bool_or(kind = 'string') OR (bool_or(kind = 'date') AND bool_or(kind IN ('int', 'bigint', 'double')))
+    THEN 'string' WHEN bool_or(kind = 'date') THEN 'date' WHEN bool_or(kind = 'double') THEN 'double'
+    WHEN bool_or(kind = 'bigint') THEN 'bigint' WHEN bool_or(kind = 'int') THEN 'int' ELSE 'void' END AS narrowest
+FROM (SELECT column_name, declared, CASE WHEN x IS NULL OR trim(x) = '' THEN 'missing'
+    WHEN regexp_matches(x, '^\\s*[+-]?[0-9]+\\s*$') AND TRY_CAST(trim(x) AS INTEGER) IS NOT NULL THEN 'int'
+    WHEN regexp_matches(x, '^\\s*[+-]?[0-9]+\\s*$') AND TRY_CAST(trim(x) AS BIGINT) IS NOT NULL THEN 'bigint'
+    WHEN regexp_matches(x, '^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$') THEN 'double'
+    WHEN regexp_matches(x, '^\\s*[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\\s*$') AND TRY_CAST(trim(x) AS DATE) IS NOT NULL
+    THEN 'date' ELSE 'string' END AS kind FROM ({" UNION ALL ".join(parts)}) v) k
+GROUP BY column_name, declared"""
+
+
 _SELECTS = {
     "snapshot_calendar": """SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date),
     INTERVAL 1 MONTH)) AS DATE) AS snapshot_date FROM raw_loans""",
@@ -382,6 +410,7 @@ UNION ALL {_schema_rows('label_store', 'gold_labels', _LABEL_SCHEMA)}""",
     "csv_scan_attributes": "SELECT * FROM raw_attributes",
     "csv_scan_loans": "SELECT * FROM raw_loans",
     "csv_by_month": "SELECT * FROM raw_clickstream",
+    "csv_schema_drift": _drift(),
     "csv_multi_line_scan": """SELECT Customer_ID, snapshot_date, Name || chr(10) || '"x", y' AS Name, Age, SSN, Occupation
 FROM raw_attributes""",
     "csv_roundtrip_scan": "SELECT * FROM raw_financials",
