@@ -91,6 +91,28 @@ def _copy(df: DataFrame, keys: list[str], hot: DataFrame, slot: str) -> DataFram
     return _slices(df, keys, hot).withColumn(slot, F.explode(slots))
 
 
+#: Hashes of keys that are broadcast to thin out a table before its shuffle, at 8 bytes and a hash table entry each.
+MOST_HASHES = 2_000_000
+
+
+def matching_rows(
+    rights: dict[str, DataFrame], left: DataFrame, keys: list[str], most_hashes: int = MOST_HASHES
+) -> dict[str, DataFrame]:
+    """The rows of each table whose keys have the hash of some key of ``left``: all that a join can match, and hardly
+    a row more.
+
+    The different hashes are counted first and broadcast if there are no more than ``most_hashes``; otherwise the
+    tables stay whole. Hashes of different keys may be equal, so the join goes by the keys all the same.
+    """
+    hashes = left.select(F.xxhash64(*keys).alias("_hash")).distinct()
+    if hashes.limit(most_hashes + 1).count() > most_hashes:
+        return dict(rights)
+    return {
+        name: df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash")
+        for name, df in rights.items()
+    }
+
+
 def left_joins(
     left: DataFrame,
     rights: dict[str, DataFrame],

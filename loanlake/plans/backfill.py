@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loanlake import schemas as s
 from loanlake.functions.calendar import month_starts
 from loanlake.operators import audit, gold
-from loanlake.operators.joins import DEFAULT_POLICY, SkewPolicy, hot_keys
+from loanlake.operators.joins import DEFAULT_POLICY, SkewPolicy, hot_keys, matching_rows
 from loanlake.operators.silver import CLEANERS
 from loanlake.sources.csv import read_sources
 from loanlake.sources.lake import Lake, Staged, of_months
@@ -28,6 +28,8 @@ LAST_MONTH = "2024-12-01"
 LABEL_DPD = 30
 LABEL_MOB = 6
 
+# Rows from which on it pays to look up which customers have an application, before their rows are shuffled.
+THIN_FROM = 5_000_000
 CUSTOMER_TABLES = ["clickstream", "attributes", "financials"]
 # Loans at application and at a given age are read from the ledger later: sorted by installment, both reads skip most
 # of each file.
@@ -55,23 +57,36 @@ def stage_silver(lake: Lake, table: str, months: list[date]) -> Staged:
     return lake.stage(rows, "silver", table, months, sort_by=SILVER_ORDER.get(table), tallies={"input": bronze})
 
 
-def _hot_keys(lake: Lake, applications: DataFrame, customers: dict[str, DataFrame], policy: SkewPolicy, months: list[date]):
-    """The hot keys of the join of features. A table with no more rows than a hot key has in the log isn't searched,
-    and the others are searched at the same time."""
+def _silver_rows(lake: Lake, months: list[date]) -> dict[str, int]:
+    """Rows of the given months by table, from the log."""
     wanted = (F.col("layer") == "silver") & of_months(months)
     sizes = lake.processed().where(wanted).groupBy("table_name").agg(F.sum("n_rows").alias("n"))
-    n = {row["table_name"]: row["n"] for row in sizes.collect()}
+    return {row["table_name"]: row["n"] for row in sizes.collect()}
+
+
+def _hot_keys(
+    applications: DataFrame, customers: dict[str, DataFrame], policy: SkewPolicy, n: dict[str, int]
+) -> dict[str, DataFrame]:
+    """The hot keys of the join of features. A table with no more rows ``n`` than a hot key has isn't searched, and the
+    others are searched at the same time."""
     tables = {"left": applications, **customers}
     large = [name for name in tables if n.get("loans" if name == "left" else name, 0) > policy.min_rows]
     found = together([lambda name=name: hot_keys({name: tables[name]}, s.CUSTOMER_MONTH, policy) for name in large])
     return {name: keys for of in found for name, keys in of.items()}
 
 
-def stage_features(lake: Lake, months: list[date], policy: SkewPolicy = DEFAULT_POLICY) -> Staged:
-    """The feature store of the given months."""
+def stage_features(
+    lake: Lake, months: list[date], policy: SkewPolicy = DEFAULT_POLICY, thin_from: int = THIN_FROM
+) -> Staged:
+    """The feature store of the given months. Customer tables of ``thin_from`` rows and more lose rows without an
+    application before they are shuffled."""
     tables = {table: lake.read("silver", table, months) for table in ["loans", *CUSTOMER_TABLES]}
-    applications = gold.loans_at_application(tables.pop("loans"))
-    hot = _hot_keys(lake, applications, gold.customer_features(**tables), policy, months)
+    applications, n = gold.loans_at_application(tables.pop("loans")), _silver_rows(lake, months)
+    # Most customers take out no loan in most months: rows of others needn't be shuffled.
+    large = {name: df for name, df in tables.items() if n.get(name, 0) >= thin_from}
+    if large:
+        tables |= matching_rows(large, applications, s.CUSTOMER_MONTH)
+    hot = _hot_keys(applications, gold.customer_features(**tables), policy, n)
     base = Tally()
     rows = gold.features_of(base.watch(applications), **tables, hot=hot)
     return lake.stage(rows, "gold", "feature_store", months, rebalance=True, tallies={"at_application": base})

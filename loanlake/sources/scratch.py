@@ -18,7 +18,8 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):  # not a local cluster of several processes
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="loanlake-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)

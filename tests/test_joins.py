@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
-from loanlake.operators.joins import SkewPolicy, hot_keys, inner_join, left_joins
+from loanlake.operators.joins import SkewPolicy, hot_keys, inner_join, left_joins, matching_rows
 
 KEYS = ["k", "d"]
 EAGER = SkewPolicy(max_keys=10, min_rows=20, tracked=64)
@@ -93,3 +93,14 @@ def test_hot_rows_of_one_task_are_spread(spark, as_if_large):
 def test_ordinary_keys_use_the_plain_plan(spark):
     left, right = table(spark, 0, 40, "a"), table(spark, 0, 30, "b")
     assert left_joins(left, {"right": right}, KEYS).sameSemantics(left.join(right, KEYS, "left"))
+
+
+def test_rows_without_a_match_are_not_shuffled(spark):
+    left = spark.createDataFrame([(i, i % 3) for i in range(0, 60, 2)] * 2, "k int, m int")
+    right = spark.createDataFrame([(i, i % 3, f"v{i}") for i in range(100)] * 3, "k int, m int, v string")
+    thin = matching_rows({"r": right}, left, ["k", "m"])["r"]
+    assert rows(thin) == rows(right.where("k < 60 and k % 2 = 0")) and thin.columns == right.columns
+    assert rows(left_joins(left, {"r": thin}, ["k", "m"])) == rows(left_joins(left, {"r": right}, ["k", "m"]))
+    assert matching_rows({"r": right}, left, ["k", "m"], 29)["r"] is right
+    assert rows(matching_rows({"r": right}, left, ["k", "m"], 30)["r"]) == rows(thin)
+    assert matching_rows({"r": right}, left.where("k < 0"), ["k", "m"])["r"].count() == 0

@@ -86,6 +86,11 @@ def test_features_with_salted_keys_are_the_same(spark, sources, whole, tmp_path)
     assert gold_rows(lake) == gold_rows(whole)
 
 
+def test_features_of_thinned_tables_are_the_same(whole):
+    staged = backfill.stage_features(whole, MONTHS, thin_from=0)
+    assert rows(whole.read_staged(staged)) == rows(whole.read("gold", "feature_store"))
+
+
 def test_rerun_replaces_one_month_only(spark, sources, tmp_path):
     lake = new_lake(spark, tmp_path)
     backfill.load_bronze(lake, sources, MONTHS)
