@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
+from loanlake.llm.tokens import release_encoders
 from loanlake.llm.words import mix, slices, split_words, text_bytes
 
 ORDER = 6
@@ -34,8 +35,10 @@ SYMBOLS = 1 << BITS
 HALVES = (0, 1)
 #: Runs that are sent to executors, at 16 bytes each; more are joined by a shuffle.
 BROADCAST_RUNS = 8_000_000
-#: Different runs that a task holds before it passes them on.
-HELD_RUNS = 3_000_000
+#: Different runs that a task holds before it passes them on, and bytes of text that it looks at together: some forty
+#: bytes of arrays for each.
+HELD_RUNS = 1_500_000
+BATCH_BYTES = 1_000_000
 
 _EDGE, _SPACE, _OTHER = 0, 1, 2
 _MARKS = b".,;:!?'-"
@@ -83,8 +86,16 @@ def count_runs(docs: DataFrame) -> DataFrame:
     """``lang_key, code, c0, c1``: how often each run is in the texts of either half."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         known: dict[int, int] = {}
         held, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add_up() -> tuple[np.ndarray, np.ndarray]:
+            keys, at = np.unique(np.concatenate([held, *[k for k, _ in waiting]]), return_inverse=True)
+            total = np.bincount(at, np.concatenate([sums, *[n for _, n in waiting]]), minlength=len(keys))
+            waiting.clear()
+            return keys, total.astype(np.int64)
 
         def rows() -> pa.RecordBatch:
             group, code = held >> (BITS * ORDER), held & ((1 << BITS * ORDER) - 1)
@@ -92,16 +103,18 @@ def count_runs(docs: DataFrame) -> DataFrame:
             arrays = [languages, (group & 1).astype(np.int32), code, sums]
             return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["lang_key", "half", "code", "n"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH_BYTES):
             text = batch.column("text")
             data, first = text_bytes(text)
             group = _numbered(batch.column("lang_key").to_pylist(), known) * 2 + halves(text)
             found, n = np.unique(codes(data, first) | np.repeat(group << (BITS * ORDER), np.diff(first)), return_counts=True)
-            held, at = np.unique(np.concatenate([held, found]), return_inverse=True)
-            sums = np.bincount(at, np.concatenate([sums, n])).astype(np.int64)
-            if len(held) > HELD_RUNS:
-                yield rows()
-                held, sums, known = held[:0], sums[:0], {}
+            waiting.append((found, n))
+            if sum(len(k) for k, _ in waiting) > HELD_RUNS // 2:
+                held, sums = add_up()
+                if len(held) > HELD_RUNS:
+                    yield rows()
+                    held, sums, known = held[:0].copy(), sums[:0].copy(), {}
+        held, sums = add_up()
         yield rows()
 
     parts = docs.select(language_key(), "text").mapInArrow(count, "lang_key long, half int, code long, n long")
@@ -195,7 +208,7 @@ def joined_log_perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
     """``text_hash, lang_key, log_perplexity`` of every different text with bytes, by a join of its different runs."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH_BYTES):
             text = batch.column("text")
             data, first = text_bytes(text)
             own, half = codes(data, first), halves(text)

@@ -71,7 +71,7 @@ def score(docs: DataFrame, model: DataFrame, broadcast_runs: int) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(kneser_ney.SortedRuns(model)) if sent else None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", kneser_ney.BATCH_BYTES):
             text = batch.column("text")
             words = split_words(text, fold=False)
             data, first = text_bytes(text)

@@ -122,6 +122,12 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def release_encoders() -> None:
+    """Give back what earlier steps have left in this process, which Spark uses again for other steps."""
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def with_end(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same ids with ``end_id`` after those of each text."""
     n = len(first) - 1
