@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
-from loanlake.llm.tokens import release_encoders
+from loanlake.llm.tokens import release_encoders, release_memory
 from loanlake.llm.words import mix, slices, split_words, text_bytes
 
 ORDER = 6
@@ -116,6 +116,8 @@ def count_runs(docs: DataFrame) -> DataFrame:
                     held, sums, known = held[:0].copy(), sums[:0].copy(), {}
         held, sums = add_up()
         yield rows()
+        held, sums = held[:0].copy(), sums[:0].copy()
+        release_memory()
 
     parts = docs.select(language_key(), "text").mapInArrow(count, "lang_key long, half int, code long, n long")
     of_half = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"c{h}") for h in HALVES]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from loanlake.llm import kneser_ney
 from loanlake.llm.stash import Stash
+from loanlake.llm.tokens import release_memory
 from loanlake.llm.words import Words, mix, shingles, slices, split_words, text_bytes
 
 #: Rejected rows are broadcast up to this count; beyond it they are joined by a shuffle.
@@ -91,6 +92,7 @@ def score(docs: DataFrame, model: DataFrame, broadcast_runs: int) -> DataFrame:
                 + [pa.array(log, mask=np.isnan(log))],
                 ["doc_id", "lang", "lang_key", "text_hash", *COUNTS, "log_perplexity"],
             )
+        release_memory()
 
     wanted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),

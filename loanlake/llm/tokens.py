@@ -6,6 +6,7 @@ and case doesn't matter but in special tokens: a word is its base in lower case
 is encoded once, and common ones once per process; tests compare with encoding whole texts.
 """
 
+import ctypes
 from functools import lru_cache
 from itertools import chain
 
@@ -122,10 +123,18 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark uses this process again, and arrays of megabytes leave gaps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def release_encoders() -> None:
-    """Give back what earlier steps have left in this process, which Spark uses again for other steps."""
+    """Give back what earlier steps have cached in this process."""
     encoder.cache_clear()
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def with_end(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
