@@ -168,10 +168,10 @@ def _tiled(batch: pa.RecordBatch, items: Items, least_cover: float) -> Iterator[
 
 
 def _blocks(benchmark: DataFrame, most_bytes: int) -> list[DataFrame]:
-    """The items in blocks of about so many bytes, by a hash of the text."""
+    """The items, of different texts, in blocks of about so many bytes, by a hash of their key."""
     size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = -(-size // most_bytes)
-    block = F.pmod(F.xxhash64("text"), F.lit(max(1, n)))
+    block = F.pmod(F.xxhash64("item_id"), F.lit(max(1, n)))
     return [benchmark.where(block == i) for i in range(n)]
 
 
@@ -181,14 +181,18 @@ def find_contamination(
     """A row per text and item whose tiles of five words or more cover at least ``min_cover`` of the item's words.
 
     Texts are not shuffled. The items travel to the executors in blocks of a bounded size, one pass over the texts
-    per block; however large the benchmark, all items meet all texts.
+    per block; however large the benchmark, all items meet all texts. Items with the same text travel once, as their
+    key, and get their rows by a join with what was found.
     """
     spark = docs.sparkSession
     stash = Stash(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
+    wanted = wanted.withColumn("key", F.xxhash64("text"))
+    different = wanted.groupBy("key").agg(F.min("text").alias("text")).withColumnRenamed("key", "item_id")
+    different = stash.keep(different, "items")
     found = None
-    for block in _blocks(wanted, block_bytes):
+    for block in _blocks(different, block_bytes):
         rows = block.collect()  # at most about block_bytes
         items = spark.sparkContext.broadcast(Items.of([r["item_id"] for r in rows], [r["text"] for r in rows]))
 
@@ -203,6 +207,8 @@ def find_contamination(
         found = part if found is None else found.unionAll(part)
     if found is None:
         found = spark.createDataFrame([], FOUND)
+    names = found.columns
+    found = found.withColumnRenamed("item_id", "key").join(wanted.select("key", "item_id"), "key").select(*names)
     return found.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
 
 

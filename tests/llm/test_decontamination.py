@@ -77,3 +77,16 @@ def test_empty(spark, nothing, edges):
     assert dc.find_contamination(nothing, items(spark, [(1, "a b c d e f")])).count() == 0
     assert dc.find_contamination(edges, items(spark, [])).count() == 0
     assert dc.without_contamination(edges, items(spark, [])).count() == edges.count()
+
+
+def test_many_equal_items_travel_once(make, spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(i % 50, text) for i in range(200)] + [(None, text)], "item_id long, text string")
+    sent = []
+    of = dc.Items.of
+    monkeypatch.setattr(dc.Items, "of", lambda ids, texts: sent.append(len(ids)) or of(ids, texts))
+    found = dc.find_contamination(make([(1, "a b " + text), (2, "other words alone")]), items, block_bytes=100)
+    rows = found.collect()
+    assert sum(sent) == 1
+    assert {r["doc_id"] for r in rows} == {1} and len(rows) == 201
+    assert sorted(r["item_id"] for r in rows if r["item_id"] is not None) == sorted(i % 50 for i in range(200))
