@@ -42,8 +42,7 @@ def layer_row_audit(bronze: dict[str, DataFrame], mob: int = 6) -> DataFrame:
 
     What has been written is counted by :func:`written_row_audit`.
 
-    Counts that come from the same table share one scan. Only the final features need the join, of which the columns
-    not counted are pruned.
+    Counts that come from the same table share one scan. Only the final features need a join, of the counts of each key.
     """
     everything = F.lit(True)
     clean = {
@@ -70,8 +69,8 @@ def layer_row_audit(bronze: dict[str, DataFrame], mob: int = 6) -> DataFrame:
         counts.append(month_counts(source, stages))
         listed.extend(stages)
     tables = {name: clean_table(bronze[name]) for name, clean_table in silver.CLEANERS.items()}
-    final = gold.feature_store(**tables)
-    counts.append(month_counts(final, {listed[0]: everything}))
+    final = gold.feature_counts(**tables)
+    counts.append(final.select(s.SNAPSHOT, *[F.lit(part).alias(c) for part, c in zip(listed[0], STAGE)], "n"))
     found = reduce(DataFrame.unionByName, counts)
 
     labels = F.array(*[F.struct(*[F.lit(part).alias(c) for part, c in zip(stage, STAGE)]) for stage in listed])
@@ -89,8 +88,18 @@ def _counted(df: DataFrame, layer: str, table: str, name: str) -> DataFrame:
     )
 
 
+def _sized(counts: DataFrame, layer: str, table: str, name: str) -> DataFrame:
+    return counts.select(
+        s.SNAPSHOT, F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.col("n").alias(name)
+    )
+
+
 def written_row_audit(
-    sources: dict[str, DataFrame], written: dict[str, dict[str, DataFrame]], months: DataFrame, mob: int = 6
+    sources: dict[str, DataFrame],
+    written: dict[str, dict[str, DataFrame]],
+    months: DataFrame,
+    mob: int = 6,
+    sizes: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Rows that each written table has and should have, by month, and rows of the sources outside all months.
 
@@ -98,7 +107,8 @@ def written_row_audit(
     pass. What a table should have follows from the written tables below it: bronze from the sources, silver from the keys
     in bronze, features from the applications and the customer rows that each of them meets, labels from the age of
     loans. ``n_missing`` is the difference. Source rows whose date is unreadable or in none of ``months`` are counted
-    as layer ``rejected`` without a month; nothing of them should be written.
+    as layer ``rejected`` without a month; nothing of them should be written. ``sizes`` has ``snapshot_date, n`` of gold
+    tables that can be counted without their rows, see ``Lake.row_counts``; the others are counted.
     """
     clean = {name: _all_present(*s.CUSTOMER_MONTH) for name in sources}
     clean["loans"] = _all_present(s.CUSTOMER, s.LOAN, s.SNAPSHOT)
@@ -117,19 +127,14 @@ def written_row_audit(
         counted.append(_counted(written["bronze"][name], "bronze", name, "n_counted"))
         counted.append(_counted(written["silver"][name], "silver", name, "n_counted"))
     loans = written["silver"]["loans"]
-    features = gold.loans_at_application(loans).select(*s.CUSTOMER_MONTH)
-    per_key = F.lit(1)
-    for name in ["clickstream", "attributes", "financials"]:
-        met = written["silver"][name].groupBy(*s.CUSTOMER_MONTH).agg(F.count("*").alias(f"n_{name}"))
-        features = features.join(met, s.CUSTOMER_MONTH, "left")
-        per_key = per_key * F.coalesce(f"n_{name}", F.lit(1))
-    expected.append(
-        features.groupBy(s.SNAPSHOT).agg(F.sum(per_key).alias("n_expected")).select(
-            s.SNAPSHOT, F.lit("gold").alias("layer"), F.lit("feature_store").alias("table_name"), "n_expected"
-        )
-    )
+    features = gold.feature_counts(**written["silver"])
+    expected.append(_sized(features, "gold", "feature_store", "n_expected"))
     expected.append(_counted(loans.where(F.col("mob") == mob), "gold", "label_store", "n_expected"))
-    counted += [_counted(written["gold"][name], "gold", name, "n_counted") for name in s.GOLD]
+    for name in s.GOLD:
+        if sizes and name in sizes:
+            counted.append(_sized(sizes[name], "gold", name, "n_counted"))
+        else:
+            counted.append(_counted(written["gold"][name], "gold", name, "n_counted"))
     key = [s.SNAPSHOT, "layer", "table_name"]
     # Every source has a row for the rejected, also if there are none. Months times tables, a few thousand rows.
     none = sources[next(iter(sources))].sparkSession.createDataFrame(
@@ -202,10 +207,16 @@ def logged_profile(log: DataFrame, columns: dict[str, int]) -> DataFrame:
     return rows.select("table_name", "n_rows", known[F.col("table_name")].alias("n_columns"))
 
 
-def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and columns of each table."""
+def _n_rows(name: str, df: DataFrame, sizes: dict[str, DataFrame] | None) -> DataFrame:
+    if sizes and name in sizes:
+        return sizes[name].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    return df.agg(F.count("*").alias("n_rows"))
+
+
+def dataset_profile(tables: dict[str, DataFrame], sizes: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows and columns of each table. ``sizes`` has ``snapshot_date, n`` of tables that needn't be counted row by row."""
     parts = [
-        df.agg(F.count("*").alias("n_rows")).select(
+        _n_rows(name, df, sizes).select(
             F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns")
         )
         for name, df in tables.items()
@@ -213,8 +224,8 @@ def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per column with its place, its type and the rows of its table."""
+def schema_report(tables: dict[str, DataFrame], sizes: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row per column with its place, its type and the rows of its table; for ``sizes`` see :func:`dataset_profile`."""
     parts = []
     for name, df in tables.items():
         columns = [
@@ -225,6 +236,6 @@ def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
             )
             for place, field in enumerate(df.schema, start=1)
         ]
-        counted = df.agg(F.count("*").alias("n_rows"))
+        counted = _n_rows(name, df, sizes)
         parts.append(counted.select(F.lit(name).alias("table_name"), F.inline(F.array(*columns)), "n_rows"))
     return reduce(DataFrame.unionAll, parts)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlake import schemas as s
-from loanlake.operators import gold, silver
+from loanlake.operators import audit, gold, silver
 
 DAY = date(2023, 5, 1)
 
@@ -89,3 +89,13 @@ def test_training_set(spark):
     labels = gold.label_store(silver.clean_loans(tables["loans"]))
     rows = gold.training_set(features(tables), labels).collect()
     assert [(r["loan_id"], r["label"], r["snapshot_date"]) for r in rows] == [("L1", 1, date(2022, 11, 1))]
+
+
+def test_features_are_counted_without_being_made(spark):
+    """Three hundred rows of a key in every table are eight billion features."""
+    many = 300
+    tables = bronze(spark, [loan()] * many, [{"fe_1": 1.0}] * many, [{"Age": "30"}] * many, [{"Credit_Mix": "Good"}] * many)
+    found = audit.layer_row_audit(tables).where("table_name = 'feature_store' AND stage = 'output'")
+    assert [row["n"] for row in found.collect()] == [many**4]
+    few = {name: clean(df.limit(3)) for (name, df), clean in zip(tables.items(), [silver.CLEANERS[n] for n in tables])}
+    assert gold.feature_counts(**few).first()["n"] == gold.feature_store(**few).count() == 81
