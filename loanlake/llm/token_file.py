@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
-from loanlake.llm.tokens import BATCH_BYTES, encoder, with_end
+from loanlake.llm.tokens import BATCH_BYTES, encoder, release_memory, with_end
 from loanlake.llm.words import slices
 
 BLOCK = 4096
@@ -193,6 +193,8 @@ def write_token_files(
             kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
             arrays = [pa.array(x, kind) for x, kind in zip(row, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["ordinal", "path", "n_docs", "n_ids"])
+        out = writer = None
+        release_memory()
 
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
     tie = F.xxhash64("text")
