@@ -69,13 +69,14 @@ def halves(column: pa.Array) -> np.ndarray:
 def codes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The run that ends at each byte of each text, the last symbol in the lowest bits."""
     lead, sizes = ORDER - 1, np.diff(first)
-    stream = np.full(len(data) + lead * len(sizes), _EDGE, np.int64)
-    where = np.arange(len(data)) + lead * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-    stream[where] = _FOLD[data]
-    out = stream[where]
+    inside = np.ones(len(data) + lead * len(sizes), bool)
+    inside[(first[:-1] + lead * np.arange(len(sizes)))[:, None] + np.arange(lead)] = False
+    stream = np.full(len(inside), _EDGE, np.int64)
+    stream[inside] = _FOLD[data]
+    out = stream.copy()
     for back in range(1, ORDER):
-        out |= stream[where - back] << (BITS * back)
-    return out
+        out[back:] |= stream[:-back] << (BITS * back)
+    return out[inside]
 
 
 def _numbered(languages: list[int], known: dict[int, int]) -> np.ndarray:
@@ -181,6 +182,22 @@ def fit(docs: DataFrame, stash: Stash) -> DataFrame:
     return model
 
 
+#: Bits of a place among the runs that are looked up together; a run and a place fit into a signed number.
+_AT_BITS = 63 - BITS * ORDER
+
+
+def _looked_up(run: np.ndarray, log: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The entry of ``log`` for each wanted run, all of which are in ``run``. Each different one is searched once, in
+    order, so that the search stays near where it was: in a table beyond the caches others wait for memory."""
+    ranked = np.sort(wanted << _AT_BITS | np.arange(len(wanted)))
+    place = ranked & ((1 << _AT_BITS) - 1)
+    ranked >>= _AT_BITS
+    new = np.flatnonzero(np.diff(ranked, prepend=-1))
+    out = np.empty(len(wanted), log.dtype)
+    out[place] = np.repeat(log[np.searchsorted(run, ranked[new])], np.diff(new, append=len(ranked)))
+    return out
+
+
 class SortedRuns:
     """Per language the sorted runs and the logarithms of their probabilities in either half."""
 
@@ -198,11 +215,17 @@ class SortedRuns:
         """Of each text, the mean over its bytes; NaN for one without any."""
         data, first = text_bytes(text)
         own, half, sizes = codes(data, first), halves(text), np.diff(first)
+        values, of = np.zeros(len(own), np.float32), np.array(languages, np.int64)
+        for language in np.unique(of[sizes > 0]).tolist():
+            for h in HALVES:
+                run, log = self._of[language][0], self._of[language][2 - h]
+                where = np.flatnonzero(np.repeat((of == language) & (half == h), sizes))
+                for begin in range(0, len(where), 1 << _AT_BITS):
+                    here = where[begin : begin + (1 << _AT_BITS)]
+                    values[here] = _looked_up(run, log, own[here])
         out = np.full(len(sizes), np.nan)
         for i in np.flatnonzero(sizes):
-            run, *logs = self._of[languages[i]]
-            at = np.searchsorted(run, own[first[i] : first[i + 1]])
-            out[i] = -logs[1 - half[i]][at].mean(dtype=np.float64)
+            out[i] = -values[first[i] : first[i + 1]].mean(dtype=np.float64)
         return out
 
 

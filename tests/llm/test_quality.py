@@ -3,12 +3,14 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from conftest_llm import by_id, edge_texts, words
 
 from loanlake.llm import kneser_ney
 from loanlake.llm import quality as q
+from loanlake.llm.words import text_bytes
 
 
 def brute_counts(text):
@@ -187,3 +189,31 @@ def test_edges(edges):
 
 def test_empty(nothing):
     assert q.judge(nothing).count() == 0 and q.keep_good(nothing).count() == 0
+
+
+def test_runs_are_searched_once_and_in_order(monkeypatch):
+    rng = np.random.default_rng(5)
+    run = np.unique(rng.integers(0, 1 << 36, 400))
+    log = rng.random(len(run)).astype(np.float32)
+    wanted = rng.choice(run, 5000)
+    asked = []
+    searched = np.searchsorted
+
+    def search(table, needles):
+        asked.append(needles)
+        return searched(table, needles)
+
+    monkeypatch.setattr(np, "searchsorted", search)
+    found = kneser_ney._looked_up(run, log, wanted)
+    assert found.tolist() == log[searched(run, wanted)].tolist()
+    assert np.concatenate(asked).tolist() == sorted(set(wanted.tolist()))
+
+
+def test_codes_of_many_texts():
+    texts = ["", None, "a", "ab c\tD9!é", "", "x" * 20, None]
+    data, first = text_bytes(pa.array(texts))
+    want = []
+    for text in texts:
+        folded = [0] * 5 + [int(kneser_ney._FOLD[b]) for b in (text or "").encode()]
+        want += [sum(folded[i + j] << 6 * (5 - j) for j in range(6)) for i in range(len(folded) - 5)]
+    assert kneser_ney.codes(data, first).tolist() == want
