@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlake.llm.stash import Stash
-from loanlake.llm.tokens import BATCH_BYTES, encoder, with_end
+from loanlake.llm.tokens import BATCH_BYTES, encoder, release_memory, with_end
 from loanlake.llm.words import slices
 
 SALTS = 64
@@ -99,6 +99,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
                 ],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(pieces, PIECE)
 
