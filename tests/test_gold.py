@@ -99,3 +99,29 @@ def test_features_are_counted_without_being_made(spark):
     assert [row["n"] for row in found.collect()] == [many**4]
     few = {name: clean(df.limit(3)) for (name, df), clean in zip(tables.items(), [silver.CLEANERS[n] for n in tables])}
     assert gold.feature_counts(**few).first()["n"] == gold.feature_store(**few).count() == 81
+
+
+def test_labels_are_joined_before_rows_multiply(spark):
+    started = loan(snapshot_date=date(2022, 11, 1), loan_start_date=date(2022, 11, 1))
+    later = loan(loan_start_date=date(2022, 11, 1), installment_num=6, due_amt=100.0, overdue_amt=100.0)
+    blank = [{**row, "Customer_ID": " ", "loan_id": "L3"} for row in (started, later, later)]
+    month = {"snapshot_date": date(2022, 11, 1)}
+    tables = bronze(
+        spark, [started, later, later, *blank, {**started, "loan_id": "L2"}, {**started, "Customer_ID": "other"}],
+        [{"fe_1": x, **month} for x in (1.0, 2.0, None)], [{"Age": "30", **month}] * 2,
+        [{"Credit_Mix": "Good", **month, "Customer_ID": c} for c in (" ", " ", "c1")],
+    )
+    clean = {name: silver.CLEANERS[name](df) for name, df in tables.items()}
+    labels = gold.label_store(clean["loans"])
+    found, whole = gold.training_features(**clean, labels=labels), gold.training_set(gold.feature_store(**clean), labels)
+    assert found.columns == whole.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect())) and found.count() >= 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.training_features(**clean, labels=labels)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_loan = [part for part in plan.split("\n\n") if "Exchange" in part and "hashpartitioning(loan_id" in part]
+    assert len(by_loan) == 2 and not any("Credit_Mix" in part or "fe_1" in part for part in by_loan)
