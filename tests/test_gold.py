@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loanlake import schemas as s
 from loanlake.operators import audit, gold, silver
+from loanlake.operators.joins import SkewPolicy
 
 DAY = date(2023, 5, 1)
 
@@ -125,3 +126,29 @@ def test_labels_are_joined_before_rows_multiply(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_loan = [part for part in plan.split("\n\n") if "Exchange" in part and "hashpartitioning(loan_id" in part]
     assert len(by_loan) == 2 and not any("Credit_Mix" in part or "fe_1" in part for part in by_loan)
+
+
+def test_hot_loans_are_spread_before_rows_multiply(spark):
+    """Labels of a loan with many rows are joined by slices; the features aren't in any exchange."""
+    month = {"snapshot_date": date(2022, 11, 1)}
+    started = loan(**month, loan_start_date=date(2022, 11, 1))
+    later = loan(loan_start_date=date(2022, 11, 1), installment_num=6, due_amt=100.0, overdue_amt=100.0)
+    given = [started, started, {**started, "Customer_ID": " "}, later, later, {**started, "loan_id": "L2"}]
+    tables = bronze(
+        spark, given, [{"fe_1": x, **month} for x in (1.0, 2.0)], [{"Age": "30", **month}] * 2, [{"Credit_Mix": "Good", **month}]
+    )
+    clean = {name: silver.CLEANERS[name](df) for name, df in tables.items()}
+    labels, policy = gold.label_store(clean["loans"]), SkewPolicy(min_rows=1)
+    whole = gold.training_set(gold.feature_store(**clean), labels, policy)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = gold.training_features(**clean, labels=labels, policy=policy)
+        plan = found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert found.columns == whole.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect())) and found.count() == 2 * (2 * 4 + 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_loan = [part for part in plan.split("\n\n") if "Exchange" in part and "hashpartitioning(loan_id" in part]
+    assert by_loan and "_left_slot" in "".join(by_loan) and not any("fe_1" in part for part in by_loan)
