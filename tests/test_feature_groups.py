@@ -117,6 +117,35 @@ def test_versions_of_rows_and_of_groups_are_read_together(spark, tmp_path):
     assert rows(lake.read("gold", "feature_store")) == rows(both)
 
 
+@pytest.mark.parametrize("policy", [None, SkewPolicy(min_rows=2), SkewPolicy(min_rows=1)], ids=["plain", "two", "one"])
+def test_labels_are_joined_to_lists(spark, tmp_path, policy):
+    """Of groups and of rows together, with loans that occur twice, have two labels or none, or no id."""
+    lake = Lake(spark, str(tmp_path))
+    early, late = silver(bronze(spark, 2)), silver(bronze(spark, 4, MONTHS[1]))
+    late["loans"] = late["loans"].unionAll(late["loans"].where("loan_id IN ('L1', 'alone')"))
+    found = [("L0", 1), ("L1", 0), ("L1", 1), ("alone", 1), (None, 1), ("other", 0)]
+    labels = spark.createDataFrame([(*row, "x") for row in found], "loan_id string, label int, label_def string")
+    lake.write(gold.feature_store(**early), "gold", "feature_store", [MONTHS[0]])
+    lake.publish(lake.stage(groups_of(late, policy), "gold", "feature_store", [MONTHS[1]], grouped=True))
+    schema = s.GOLD["feature_store"]
+    whole = gold.training_set(lake.read("gold", "feature_store"), labels)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = feature_groups.training_set(lake.read_groups(), labels, schema)
+        assert joined.columns == whole.columns and rows(joined) == rows(whole)
+        assert joined.count() == 3 * 2**3 + 1 + 5 * 4**3 + 2
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    generated = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "Generate inline(" in line or "Exchange" in line]
+    last = max(i for i, line in enumerate(generated) if "Generate inline(financials" in line)
+    first_exchange = min(i for i, line in enumerate(generated) if "Exchange" in line)
+    assert last < first_exchange  # plans are printed from the result down: no exchange of features
+    assert rows(feature_groups.training_set(lake.read_groups([MONTHS[0]]), labels, schema)) == rows(
+        whole.where(F.col(s.SNAPSHOT) == F.lit(MONTHS[0]))
+    )
+
+
 def test_compressed_sources_read_the_same(spark, tmp_path):
     table = bronze(spark, 4)["financials"]
     csv.write_csv(table, str(tmp_path / "plain"))
