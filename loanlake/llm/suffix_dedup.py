@@ -8,6 +8,10 @@ that share no anchor cannot be equal; so suffixes that meet are sent to one shar
 there from the anchor on, and the strings that start up to ``REACH`` bytes before it are induced step by step, with
 their common prefixes. A string is repeated where that reaches the judged length.
 
+Anchors found once only can be left out. A bitmap of those found several times goes to the tasks that read texts, so
+neither texts nor anchors are shuffled; up to its share of false hits it is exact, and what it lets through by chance is
+alone in its group. More anchors than a bitmap is made for are joined by a shuffle.
+
 Shards of any size work in bounded memory: the tuples come from Spark's sort, which spills to disk, some groups at a
 time, and a group has at most ``MOST_PIECES`` different pieces. Texts that are equal are one text, and equal pieces of
 an anchor are one piece, before anything is sorted; so what a third of all texts share is a few pieces. Anchors with
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.groups import whole_groups
+from loanlake.llm.key_bitmap import KeyBitmap, key_bitmap
 from loanlake.llm.stash import Stash
 from loanlake.llm.words import mix, slices, text_bytes
 
@@ -141,34 +146,65 @@ def _anchor_rows(texts: DataFrame) -> DataFrame:
 PIECE = "anchor long, piece_a long, piece_b long, text_a long, text_b long, place int, begin int, end int, piece binary"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _of_texts(batch: pa.RecordBatch, anchor, text, place, begin, end) -> pa.RecordBatch:
     """The bytes of all strings of each anchor, and 128 bits that tell them and the anchor's place in them."""
-    for batch in slices(batches, "text", 1_000_000):
-        data, first = text_bytes(batch.column("text"))
+    data, first = text_bytes(batch.column("text"))
+    starts, ends = first[text] + begin, first[text] + end + LENGTH
+    raw = data.tobytes()
+    pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    keys = [
+        hashlib.blake2b(x, digest_size=16, salt=p.to_bytes(8, "little")).digest()
+        for x, p in zip(pieces, (place - begin).tolist(), strict=True)
+    ]
+    key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+    at = pa.array(text)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(anchor, pa.int64()),
+            pa.array(key[:, 0]),
+            pa.array(key[:, 1]),
+            *[batch.column(c).take(at) for c in _TEXT],
+            *[pa.array(x, pa.int32()) for x in (place, begin, end)],
+            pa.array(pieces, pa.binary()),
+        ],
+        ["anchor", "piece_a", "piece_b", *_TEXT, "place", "begin", "end", "piece"],
+    )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those of the anchors that come with each text."""
+    for batch in slices(batches, "text"):
         lists = batch.column("anchors")
         flat = lists.flatten()
-        text = pc.list_parent_indices(lists).to_numpy()
-        anchor, place, begin, end = (flat.field(c).to_numpy() for c in ("anchor", "place", "begin", "end"))
-        starts, ends = first[text] + begin, first[text] + end + LENGTH
-        raw = data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        keys = [
-            hashlib.blake2b(x, digest_size=16, salt=int(p).to_bytes(8, "little")).digest()
-            for x, p in zip(pieces, place - begin, strict=True)
-        ]
-        key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-        at = pa.array(text)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(anchor, pa.int64()),
-                pa.array(key[:, 0]),
-                pa.array(key[:, 1]),
-                *[batch.column(c).take(at) for c in _TEXT],
-                *[pa.array(x, pa.int32()) for x in (place, begin, end)],
-                pa.array(pieces, pa.binary()),
-            ],
-            ["anchor", "piece_a", "piece_b", *_TEXT, "place", "begin", "end", "piece"],
-        )
+        places = (flat.field(c).to_numpy() for c in ("place", "begin", "end"))
+        yield _of_texts(batch, flat.field("anchor").to_numpy(), pc.list_parent_indices(lists).to_numpy(), *places)
+
+
+def _mapped_pieces(texts: DataFrame, repeated: KeyBitmap) -> DataFrame:
+    """Those of the anchors that the bitmap may hold."""
+    sent = texts.sparkSession.sparkContext.broadcast(repeated)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", STEP):
+            text, place, begin, end, found = anchors(*text_bytes(batch.column("text")))
+            keep = np.flatnonzero(sent.value.may_hold(found))
+            if len(keep):
+                yield _of_texts(batch, found.view(np.int64)[keep], *[x[keep] for x in (text, place, begin, end)])
+
+    return texts.select(*_TEXT, "text").mapInArrow(pieces, PIECE)
+
+
+def _joined_pieces(texts: DataFrame, repeated: DataFrame, stash: Stash) -> DataFrame:
+    """Those of the anchors in ``repeated``, joined to the texts."""
+    rows = _anchor_rows(texts).join(repeated, "anchor")
+    of_text = rows.groupBy(*_TEXT).agg(
+        F.collect_set(F.struct("anchor", "place", "begin", "end")).alias("anchors")
+    )
+    of_text = stash.keep(of_text, "anchors")
+    keys = of_text.select("text_a")
+    few = keys.count() <= BROADCAST_KEYS
+    wanted = texts.join(F.broadcast(keys) if few else keys, "text_a", "left_semi")
+    return wanted.join(of_text, _TEXT).select(*_TEXT, "text", "anchors").mapInArrow(_pieces, PIECE)
 
 
 def _common_prefixes(rows: np.ndarray, order: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -278,7 +314,7 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text"):
         out: list[list] = [[] for _ in range(3)]
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             raw, gone = text.encode(), _merged(spans)
@@ -301,15 +337,9 @@ def repeated_spans(texts: DataFrame, stash: Stash, most_pieces: int = MOST_PIECE
     """
     counted = _anchor_hashes(texts).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     repeated = stash.keep(counted.select("anchor"), "repeated")
-    rows = _anchor_rows(texts).join(repeated, "anchor")
-    of_text = rows.groupBy(*_TEXT).agg(
-        F.collect_set(F.struct("anchor", "place", "begin", "end")).alias("anchors")
-    )
-    of_text = stash.keep(of_text, "anchors")
-    keys = of_text.select("text_a")
-    few = keys.count() <= BROADCAST_KEYS
-    wanted = texts.join(F.broadcast(keys) if few else keys, "text_a", "left_semi")
-    members = stash.keep(wanted.join(of_text, _TEXT).select(*_TEXT, "text", "anchors").mapInArrow(_pieces, PIECE), "members")
+    bitmap = key_bitmap(repeated, repeated.count())
+    members = _joined_pieces(texts, repeated, stash) if bitmap is None else _mapped_pieces(texts, bitmap)
+    members = stash.keep(members, "members")
     piece = ["anchor", "piece_a", "piece_b"]
     pieces = stash.keep(
         members.groupBy(*piece).agg(

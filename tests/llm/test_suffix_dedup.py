@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from conftest_llm import edge_texts
 
+from loanlake.llm import key_bitmap
 from loanlake.llm import suffix_dedup as sd
 
 
@@ -81,3 +82,40 @@ def test_anchors_by_definition_and_in_steps(monkeypatch):
         monkeypatch.setattr(sd, "STEP", step)
         found = sd.anchors(data, first)
         assert list(zip(*(x.tolist() for x in found[:4]), strict=True)) == want
+
+
+def exchanged_texts(make, monkeypatch):
+    """How many tables with whole texts are shuffled or collected before pieces are made."""
+    made = []
+    own = sd.Stash.keep
+
+    def keep(self, df, name, **options):
+        if name == "members":
+            made.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return own(self, df, name, **options)
+
+    monkeypatch.setattr(sd.Stash, "keep", keep)
+    rows = planted()
+    found = sd.remove_repeats(make(rows)).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
+    (plan,) = made
+    return sum("Join" in line and "LeftAnti" not in line for line in plan.splitlines())
+
+
+def test_texts_are_not_joined_to_anchors(make, monkeypatch):
+    assert exchanged_texts(make, monkeypatch) == 0
+
+
+def test_more_anchors_than_a_bitmap_holds_are_joined(make, monkeypatch):
+    monkeypatch.setattr("loanlake.llm.key_bitmap.MAPPED_KEYS", 3)
+    assert exchanged_texts(make, monkeypatch) > 0
+
+
+def test_bitmap(spark):
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 20_000)
+    frame = spark.createDataFrame([(int(k),) for k in keys[:5000]], "key long").repartition(4)
+    bitmap = key_bitmap.key_bitmap(frame, 5000)
+    assert bitmap.may_hold(keys[:5000]).all()
+    assert bitmap.may_hold(keys[5000:]).mean() < 0.02
+    nothing = key_bitmap.key_bitmap(frame.limit(0), 0)
+    assert not nothing.may_hold(keys).any()
