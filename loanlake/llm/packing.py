@@ -77,6 +77,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
     """A row per piece: whole windows from the start of each text, then the rest."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what earlier steps have freed, before the tokenizer takes its own
         words = encoder(tokenizer)
         for batch in slices(batches, "text", BATCH_BYTES):
             ids, first = with_end(*words.encode(batch.column("text")), end_id)

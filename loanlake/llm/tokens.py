@@ -7,7 +7,6 @@ units of their own. Units are found for a whole batch at once, each distinct one
 ones are encoded once per process; tests compare with encoding whole texts.
 """
 
-import ctypes
 import os
 import re
 from functools import lru_cache
@@ -16,13 +15,13 @@ from itertools import chain, pairwise
 import numpy as np
 import pyarrow as pa
 
-from loanlake.llm.words import text_bytes
+from loanlake.llm.words import release_memory, text_bytes
 
 #: Units kept between batches, together (about 50 MB); others are encoded again in the next batch that has them.
 CACHED_WORDS = 120_000
 CACHED_BASES = 150_000
 #: Bytes of text encoded at a time.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 #: Marks at the end of a word that are gone through one by one, in all words at once.
 _STEPS = 16
 #: Units that the library gets at a time, plain ones as one text: what it returns takes many times the memory of ids.
@@ -206,14 +205,6 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def release_memory() -> None:
-    """Give freed memory back to the system: Spark uses this process again, and arrays of megabytes leave gaps."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
-    if trim:
-        trim(0)
-
-
 def release_encoders() -> None:
     """Give back what earlier steps have cached in this process."""
     encoder.cache_clear()
