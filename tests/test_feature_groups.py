@@ -153,3 +153,18 @@ def test_compressed_sources_read_the_same(spark, tmp_path):
     packed = csv.read_source(spark, str(tmp_path / "packed"), s.BRONZE["financials"])
     assert rows(packed) == rows(csv.read_source(spark, str(tmp_path / "plain"), s.BRONZE["financials"]))
     assert len(list((tmp_path / "packed").glob("*.csv.gz"))) == 3  # five rows, two a file
+
+
+def test_combinations_are_not_kept(spark):
+    """Generated code keeps the rows that it makes of an input row, so it takes one list of a group apart at most."""
+    tables = silver(bronze(spark, 2))
+    labels = spark.createDataFrame([("L0", 1, "30dpd_6mob")], [s.LOAN, *s.LABELS])
+    groups, schema = groups_of(tables), s.GOLD["feature_store"]
+    training = feature_groups.training_set(groups, labels, schema)
+    for made, least in [(feature_groups.expand(groups, schema), 4), (training, 3)]:
+        made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        lists = [line for line in plan.splitlines() if " Generate inline(" in line]
+        # The labels' join keeps the loans of a list apart from its other lists.
+        assert len([line for line in lists if "*(" in line and "inline(loans" not in line]) <= 1, plan
+        assert len(lists) >= least and (made is training or "*(" not in lists[-1]), plan
