@@ -62,6 +62,19 @@ def test_tally(spark):
     assert none.counts() == {}
 
 
+def test_months_are_counted_as_dates(spark):
+    late, schema = datetime(9999, 12, 31).date(), "snapshot_date date, x int"
+    for given, found in [
+        ([MONTHS[0], MONTHS[0], MONTHS[1], None, late], {MONTHS[0]: 2, MONTHS[1]: 1, None: 1, late: 1}),
+        ([None, None], {None: 2}),
+    ]:
+        tally = Tally()
+        watched = tally.watch(spark.createDataFrame([(month, n) for n, month in enumerate(given)], schema).repartition(3))
+        assert "concat_ws" not in watched._jdf.queryExecution().analyzed().toString()
+        assert watched.columns == [s.SNAPSHOT, "x"] and len(watched.collect()) == len(given)
+        assert tally.counts() == {(month, ""): n for month, n in found.items()}
+
+
 def test_counts_of_writes_equal_predicted_and_counted_ones(built, sources, spark):
     noted = audit.stage_counts(built.latest())
     of_months = {name: df.where(F.col(s.SNAPSHOT).isin(MONTHS)) for name, df in sources.items()}
