@@ -1,5 +1,7 @@
 """Months are processed, replaced and left out independently of each other."""
 
+import shutil
+import time
 from datetime import date
 
 import pytest
@@ -269,3 +271,36 @@ def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     found = lake.read("gold", "label_store")
     assert found.count() == 400_000
     assert found.select(F.input_file_name()).distinct().count() > 4
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {found.apply(i).getName() for i in range(found.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    schema = s.BRONZE["attributes"]
+    given = spark.createDataFrame([(f"c{n}", MONTHS[n % 3], "x", "20", "y", "z") for n in range(300)], schema)
+    before = shuffle_files(spark)
+    new_lake(spark, tmp_path).stage(given.repartition(4), "bronze", "attributes", MONTHS, rebalance=True)
+    until = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)  # Spark deletes them in a thread of its own
+    assert not shuffle_files(spark) - before
+
+
+def test_sources_may_be_deleted_once_loaded(spark, sources, whole, tmp_path):
+    folder, gone = tmp_path / "source", []
+    for table, df in sources.items():
+        csv.write_csv(df, str(folder / csv.SOURCE_FILES[table]))
+
+    def loaded(table):
+        shutil.rmtree(folder / csv.SOURCE_FILES[table])
+        gone.append(table)
+
+    lake = new_lake(spark, tmp_path)
+    given = csv.read_sources(spark, str(folder))
+    backfill.run_backfill(lake, given, "1996-01-01", "1996-03-01", loaded=loaded)
+    assert gone == list(given) and not any(folder.iterdir())
+    assert gold_rows(lake) == gold_rows(whole)
